@@ -1,4 +1,5 @@
 from tabml.functions.columns import (
+    HASH_SPACE,
     hash_position,
     is_missing,
     missing_to_null,
@@ -6,4 +7,11 @@ from tabml.functions.columns import (
     require_columns,
 )
 
-__all__ = ["hash_position", "is_missing", "missing_to_null", "ratio", "require_columns"]
+__all__ = [
+    "HASH_SPACE",
+    "hash_position",
+    "is_missing",
+    "missing_to_null",
+    "ratio",
+    "require_columns",
+]

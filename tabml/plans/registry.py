@@ -1,8 +1,8 @@
 """All registered queries and oracles."""
 
-from tabml.plans import profiling
+from tabml.plans import preparation, profiling
 
-_MODULES = (profiling,)
+_MODULES = (profiling, preparation)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}
