@@ -5,8 +5,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
+from pyspark.ml import Model
+from pyspark.ml.classification import ClassificationModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -79,9 +81,29 @@ def classification_metrics(predictions: DataFrame, by: Sequence[str] = ()) -> Da
     return _long_metrics(wide, by, CLASSIFICATION_METRICS)
 
 
-def with_score(predictions: DataFrame, source: str = "rawPrediction") -> DataFrame:
-    """Add ``score``, the class-1 entry of a classifier's vector output."""
-    return predictions.withColumn("score", vector_to_array(source)[1])
+def score_models(
+    models: Mapping[object, Model],
+    frame: DataFrame,
+    name: str = "model",
+    score_column: str = "rawPrediction",
+) -> DataFrame:
+    """Every model's prediction for every row, in one pass over ``frame``.
+
+    Rows are ``(name, label, prediction)``, for classifiers with ``score``, the
+    class-1 entry of ``rawPrediction`` or ``probability``.
+    """
+    wide, predictions = frame.select("label", "features"), []
+    for i, (model_name, model) in enumerate(models.items()):
+        outputs = {"predictionCol": f"prediction_{i}"}
+        fields = [F.lit(model_name).alias(name), F.col(f"prediction_{i}").alias("prediction")]
+        if isinstance(model, ClassificationModel):
+            vectors = {"rawPrediction": f"raw_{i}", "probability": f"probability_{i}"}
+            outputs |= {f"{column}Col": output for column, output in vectors.items()}
+            score = vector_to_array(vectors[score_column])[1]
+            fields.append(score.alias("score"))
+        wide = model.transform(wide, {model.getParam(k): v for k, v in outputs.items()})
+        predictions.append(F.struct(*fields))
+    return wide.select("label", F.inline(F.array(*predictions)))
 
 
 def auc_score(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
