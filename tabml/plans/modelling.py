@@ -16,7 +16,7 @@ from tabml.operators.split import train_test_split
 from tabml.plans import workflows
 from tabml.plans.oracle_views import LABELLED, LINES, in_train
 from tabml.plans.tree_oracle import boosted_ctes, leaf_mean, tree_ctes
-from tabml.sources import blocks, lines, load_table, stage
+from tabml.sources import blocks, lines, load_table, spread, stage
 from tabml.sources.views import BLOCK_RATIOS
 
 KEY = "o_orderkey"
@@ -66,12 +66,12 @@ def prepared_blocks(spark: SparkSession, sf_dir: str, prefit: bool = False) -> w
 
 
 def prepared_lines(spark: SparkSession, sf_dir: str) -> workflows.Prepared:
-    return workflows.prepare(lines(spark, sf_dir), CLASSIFICATION, impute=[])
+    return workflows.prepare(lines(spark, sf_dir), CLASSIFICATION, impute=[], restage=False)
 
 
 def _split(frame: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """Staged first, as training reads it more than once."""
-    return train_test_split(stage(frame, "vectors", sort_within=[key]), key)
+    return train_test_split(stage(spread(frame, key), "vectors", sort_within=[key]), key)
 
 
 def _rounded(frame: DataFrame, digits: int, *columns: str) -> DataFrame:
@@ -220,7 +220,7 @@ def logistic_saturated(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("o_orderstatus") == "F").cast("double").alias("label"),
         F.col("o_orderpriority_onehot").alias("features"),
     )
-    staged = stage(encoded, "vectors", sort_within=[KEY])
+    staged = stage(spread(encoded, KEY), "vectors", sort_within=[KEY])
     model = models.logistic_regression(tol=1e-10).fit(staged)
     predictions = models.predict(model, staged, [KEY, "o_orderpriority"])
     return _rounded(predictions, 5, "probability")

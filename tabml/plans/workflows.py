@@ -15,7 +15,7 @@ from tabml.operators.features import feature_pipeline, training_frame
 from tabml.operators.spec import FeatureSpec
 from tabml.operators.split import train_test_split
 from tabml.operators.tune import Candidate, compare_models, cross_validate, param_grid
-from tabml.sources.staging import stage
+from tabml.sources.staging import spread, stage
 
 # The grids the workloads search.
 FOREST_REGRESSION_GRID = {"maxDepth": [1, 5, 10], "numTrees": [5, 10, 15]}
@@ -41,25 +41,27 @@ def prepare(
     impute: Sequence[str] | None = None,
     prefit: bool = False,
     fraction: float = 0.8,
+    restage: bool = True,
 ) -> Prepared:
     """Split, then fit the feature pipeline on the training rows.
 
     ``prefit`` fits it on all rows before the split, which leaks test rows into
     medians, scales and category orders.
 
-    The raw columns are staged because each fitted stage reads them, and the
-    training vectors because each model does.
+    The training vectors are staged because every model reads them many times. So
+    are the raw columns, which each fitted stage reads, unless ``restage`` says that
+    ``frame`` is as good as a written table.
     """
     spec.check(frame)
     columns = [spec.key, spec.label, *spec.numeric, *spec.categorical]
     raw = frame.select(*columns).where(F.col(spec.label).isNotNull())
-    raw = stage(raw, "input", sort_within=[spec.key])
+    if restage:
+        raw = stage(spread(raw, spec.key), "input")
     train, test = train_test_split(raw, spec.key, fraction)
     pipeline = feature_pipeline(spec, impute).fit(raw if prefit else train)
     vectors = training_frame(pipeline, train, spec)
-    return Prepared(
-        stage(vectors, "train", sort_within=[spec.key]), training_frame(pipeline, test, spec)
-    )
+    vectors = stage(spread(vectors, spec.key), "train", sort_within=[spec.key])
+    return Prepared(vectors, training_frame(pipeline, test, spec))
 
 
 def regression_report(prepared: Prepared, estimators: Mapping[str, Estimator] | None = None) -> DataFrame:

@@ -1,4 +1,4 @@
-from tabml.sources.staging import drop_stages, shared_dir, stage
+from tabml.sources.staging import drop_stages, shared_dir, spread, stage
 from tabml.sources.tables import load_table, read_csv, register_view
 from tabml.sources.views import blocks, docs, lines
 
@@ -11,5 +11,6 @@ __all__ = [
     "read_csv",
     "register_view",
     "shared_dir",
+    "spread",
     "stage",
 ]

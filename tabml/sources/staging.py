@@ -33,6 +33,27 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+# About what one scan task reads (spark.sql.files.maxPartitionBytes).
+TASK_BYTES = 128 * 1024 * 1024
+
+
+def input_bytes(frame: DataFrame) -> int:
+    """The optimizer's size of the tables ``frame`` reads, pruned columns left out."""
+    leaves = frame._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
+def spread(frame: DataFrame, key: str) -> DataFrame:
+    """Give a table too small for the cluster one partition per core, by key hash.
+
+    A small input is one or a few tasks, and every training pass over it would run
+    in as few. Where the input has a scan task for each core, the frame is returned
+    as it is, without a shuffle.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame.repartition(cores, key) if input_bytes(frame) < cores * TASK_BYTES else frame
+
+
 def stage_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
