@@ -105,7 +105,7 @@ def fits_on_driver(frame: DataFrame, columns: Sequence[str], limit: int) -> bool
     """Whether the distinct texts of ``columns`` surely take less than ``limit`` bytes."""
     row = frame.agg(
         *[
-            (F.approx_count_distinct(text, 0.02) * F.max(F.octet_length(text))).alias(f"b{i}")
+            (F.approx_count_distinct(text) * F.max(F.octet_length(text))).alias(f"b{i}")
             for i, text in enumerate(F.col(c).cast("string") for c in columns)
         ]
     ).head()

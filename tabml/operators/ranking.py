@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from tabml.functions import missing_to_null, require_columns
 from tabml.sources.staging import stage
 
-# Rows that one task may take for the last step of a median.
-DIRECT_ROWS = 1_000_000
+# Rows, of all columns together, that one task may take for the last step of a median.
+DIRECT_ROWS = 2_000_000
 # percentile_approx is off by at most 1 / ACCURACY of the rows.
 ACCURACY = 10_000
 
@@ -90,7 +90,7 @@ def exact_medians(
         i: (None, None, counts[i], (counts[i] + 1) // 2) for i in range(len(columns)) if counts[i]
     }
     while open_columns:
-        solved = _solve_small(values, open_columns, direct_rows)
+        solved = _solve_small(values, open_columns, direct_rows // len(open_columns))
         for i, value in solved.items():
             medians[columns[i]] = value
             del open_columns[i]
@@ -114,8 +114,8 @@ def _inside(i: int, low: float | None, high: float | None) -> Column:
     return F.when(condition, value)
 
 
-def _solve_small(values: DataFrame, open_columns: dict, direct_rows: int) -> dict[int, float]:
-    small = {i: state for i, state in open_columns.items() if state[2] <= direct_rows}
+def _solve_small(values: DataFrame, open_columns: dict, row_limit: int) -> dict[int, float]:
+    small = {i: state for i, state in open_columns.items() if state[2] <= row_limit}
     if not small:
         return {}
     inside = values.select(*[_inside(i, small[i][0], small[i][1]).alias(f"v{i}") for i in small])
