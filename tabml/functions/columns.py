@@ -39,7 +39,10 @@ def ratio(numerator: str, denominator: str) -> Column:
 
 
 def hash_position(key: Column, salt: str = "") -> Column:
-    """A key's fixed position in ``[0, HASH_SPACE)``: the first 24 bits of its MD5."""
-    text = key.cast("string")
+    """A key's fixed position in ``[0, HASH_SPACE)``: the first 24 bits of its MD5.
+
+    A missing key has a position too, that of the empty text, so no row is lost.
+    """
+    text = F.coalesce(key.cast("string"), F.lit(""))
     digest = F.md5(F.concat(F.lit(salt), text) if salt else text)
     return F.conv(F.substring(digest, 1, 6), 16, 10).cast("long")

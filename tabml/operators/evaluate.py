@@ -26,11 +26,11 @@ def _long_metrics(wide: DataFrame, by: Sequence[str], metrics: Sequence[str]) ->
 def regression_metrics(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """RMSE, MAE and R2 of ``(label, prediction)`` rows, in one aggregate."""
     error = F.col("label") - F.col("prediction")
-    squares = F.sum(error * error)
+    squares = F.avg(error * error)
     wide = predictions.groupBy(*by).agg(
-        F.sqrt(squares / F.count("*")).alias("rmse"),
+        F.sqrt(squares).alias("rmse"),
         F.avg(F.abs(error)).alias("mae"),
-        (1 - F.try_divide(squares, F.count("*") * F.var_pop("label"))).alias("r2"),
+        (1 - F.try_divide(squares, F.var_pop("label"))).alias("r2"),
     )
     return _long_metrics(wide, by, REGRESSION_METRICS)
 

@@ -59,9 +59,10 @@ def prepare(
         raw = stage(spread(raw, spec.key), "input")
     train, test = train_test_split(raw, spec.key, fraction)
     pipeline = feature_pipeline(spec, impute).fit(raw if prefit else train)
-    vectors = training_frame(pipeline, train, spec)
-    vectors = stage(spread(vectors, spec.key), "train", sort_within=[spec.key])
-    return Prepared(vectors, training_frame(pipeline, test, spec))
+    vectors = training_frame(pipeline, spread(train, spec.key), spec)
+    return Prepared(
+        stage(vectors, "train", sort_within=[spec.key]), training_frame(pipeline, test, spec)
+    )
 
 
 def regression_report(prepared: Prepared, estimators: Mapping[str, Estimator] | None = None) -> DataFrame:

@@ -161,3 +161,10 @@ def test_scoring_together_equals_scoring_alone(line_vectors):
         alone = models.predict(model, line_vectors, []).withColumnRenamed("probability", "score")
         mine = together.where(F.col("model") == name).select("label", "prediction", "score")
         assert mine.exceptAll(alone).count() == 0 and mine.count() == alone.count()
+
+
+def test_raw_prediction_of_a_tree_counts_rows(line_vectors):
+    """Why tuning can rank trees by ``probability`` instead."""
+    scored = models.tree_classifier(maxDepth=2).fit(line_vectors).transform(line_vectors)
+    sizes = scored.groupBy("rawPrediction").count().collect()
+    assert all(sum(r["rawPrediction"]) == r["count"] for r in sizes) and len(sizes) > 1

@@ -41,3 +41,10 @@ def test_random_split_with_a_seed(spark):
 def test_unknown_key(spark):
     with pytest.raises(ValueError, match="no such column"):
         train_test_split(spark.range(3), "nope")
+
+
+def test_rows_without_a_key_are_kept(spark):
+    frame = spark.createDataFrame([(1,), (None,), (3,)], "k int")
+    train, test = train_test_split(frame, "k")
+    assert train.count() + test.count() == 3
+    assert fold_column(frame, "k").where("fold IS NULL").count() == 0
