@@ -294,10 +294,3 @@ def training_frame(model: PipelineModel, frame: DataFrame, spec: FeatureSpec) ->
 def slots(frame: DataFrame, keys: Sequence[str], vector: str = "features") -> DataFrame:
     """A vector column as long rows ``(keys..., slot, value)``."""
     return frame.select(*keys, F.posexplode(vector_to_array(vector)).alias("slot", "value"))
-
-
-def long_columns(frame: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Scalar columns as long rows ``(keys..., column, value)``."""
-    return frame.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-        list(keys), list(columns), "column", "value"
-    )
