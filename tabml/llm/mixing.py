@@ -43,13 +43,11 @@ def source_rates(
         found = F.create_map(*pairs)[F.coalesce("source", F.lit("\0"))] if pairs else F.lit(None)
         weight = F.coalesce(found.cast("double"), F.lit(0.0))
     counts = counts.withColumn("weight", F.when(F.col("n_chars") > 0, weight).otherwise(0.0))
-    total = counts.agg(
-        F.sum("weight").alias("all_weight"), F.sum("n_chars").cast("double").alias("all_chars")
-    )
-    # One row joins every source: a scalar, not a cross join of tables.
-    joined = counts.withColumn("one", F.lit(1)).join(total.withColumn("one", F.lit(1)), "one")
-    rate = F.col("weight") / F.col("all_weight") * F.col("all_chars") / F.col("n_chars")
-    return joined.select(
+    counts = stage(counts.coalesce(1), "source-counts")
+    all_weight, all_chars = counts.agg(F.sum("weight"), F.sum("n_chars").cast("double")).first()
+    share = F.col("weight") / F.lit(all_weight or 1.0)
+    rate = share * F.lit(all_chars or 0.0) / F.col("n_chars")
+    return counts.select(
         "source", "n_docs", "n_chars", "weight",
         F.when(F.col("weight") > 0, rate).otherwise(0.0).alias("rate"),
     )

@@ -45,16 +45,13 @@ class Shingler:
         if not words:
             return np.empty(0, np.uint64)
         known = self.known
-        try:
-            hashes = [known[w] for w in words]
-        except KeyError:
-            if len(known) > REMEMBERED:
-                known.clear()
-            for w in words:
-                if w not in known:
-                    known[w] = xxhash.xxh3_64_intdigest(w)
-            hashes = [known[w] for w in words]
-        codes = np.array(hashes, np.uint64)
+        missing = set(words).difference(known)
+        if len(known) + len(missing) > REMEMBERED:
+            known.clear()
+            missing = set(words)
+        for word in missing:
+            known[word] = xxhash.xxh3_64_intdigest(word)
+        codes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         size = min(self.words, len(codes))
         count = len(codes) - size + 1
         # A short sequence gets its length mixed in, so it equals no other length's shingle.
@@ -74,30 +71,63 @@ def _cell(shingles: np.ndarray) -> np.ndarray:
     return (shingles >> np.uint64(44)).astype(np.int64)
 
 
+def bitmap(shingles: np.ndarray) -> bytes:
+    """One bit for each of about twice as many cells as there are shingles."""
+    cells = min(2**17, max(256, 1 << int(2 * len(shingles) - 1).bit_length()))
+    bits = np.zeros(cells, np.uint8)
+    bits[(shingles & np.uint64(cells - 1)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def least_difference(left: bytes, right: bytes) -> int:
+    """At least so many shingles are in one of both sets only: bits that differ."""
+    one, two = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
+    while len(one) > len(two):
+        one = one[: len(one) // 2] | one[len(one) // 2 :]
+    while len(two) > len(one):
+        two = two[: len(two) // 2] | two[len(two) // 2 :]
+    return int(np.bitwise_count(one ^ two).sum())
+
+
 _SETS = pa.schema(
-    [("id", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("slice", pa.int32()), ("counts", pa.binary())]
+    [
+        ("id", pa.int64()),
+        ("node", pa.int64()),
+        ("n", pa.int64()),
+        ("bits", pa.binary()),
+        ("slice", pa.int32()),
+        ("counts", pa.binary()),
+    ]
 )
-_SETS_DDL = "id long, node long, n long, slice int, counts binary"
+_SETS_DDL = "id long, node long, n long, bits binary, slice int, counts binary"
 
 
 def _sets(docs: DataFrame, words: int) -> DataFrame:
-    """Per row its set's name and size; per task its share of the frequency sketch."""
+    """Per row its set's name, size and bitmap; per task its share of the frequency sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, counts = Shingler(words), np.zeros(CELLS, np.int32)
         for rows in batches:
-            nodes, sizes = [], []
+            nodes, sizes, maps = [], [], []
             for text in rows["text"].to_pylist():
                 shingles = shingler(text)
                 np.add.at(counts, _cell(shingles), 1)
                 nodes.append(_node(shingles) if len(shingles) else None)
                 sizes.append(len(shingles))
+                maps.append(bitmap(shingles) if len(shingles) else None)
             empty = pa.nulls(len(sizes), pa.int32()), pa.nulls(len(sizes), pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [rows["id"], pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), *empty], schema=_SETS
+                [
+                    rows["id"],
+                    pa.array(nodes, pa.int64()),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(maps, pa.binary()),
+                    *empty,
+                ],
+                schema=_SETS,
             )
         parts = [p.tobytes() for p in np.split(counts, SLICES)] if counts.any() else []
-        nothing = [pa.nulls(len(parts), pa.int64())] * 3
+        nothing = [pa.nulls(len(parts), pa.int64())] * 3 + [pa.nulls(len(parts), pa.binary())]
         yield pa.RecordBatch.from_arrays(
             [*nothing, pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())], schema=_SETS
         )
@@ -228,38 +258,73 @@ def _pairs(rows: DataFrame, percent: int) -> DataFrame:
 _LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
+def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose bitmaps do not already show too many different shingles."""
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    maps = semi_join(sets, nodes, "node").groupBy("node")
+    maps = stage(maps.agg(F.first("n").alias("n"), F.first("bits").alias("bits")), "bitmaps")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            sizes = zip(rows["x_n"].to_pylist(), rows["y_n"].to_pylist(), strict=True)
+            maps = zip(rows["x"].to_pylist(), rows["y"].to_pylist(), strict=True)
+            keep = pa.array(
+                [
+                    (100 + percent) * least_difference(x, y) <= (100 - percent) * (n + m)
+                    for (n, m), (x, y) in zip(sizes, maps, strict=True)
+                ],
+                pa.bool_(),
+            )
+            yield pa.RecordBatch.from_arrays([rows["a"].filter(keep), rows["b"].filter(keep)], schema=_LINKS)
+
+    rows = pairs
+    for own, name in (("b", "y"), ("a", "x")):
+        side = maps.select(F.col("node").alias(own), F.col("n").alias(f"{name}_n"), F.col("bits").alias(name))
+        rows = rows.join(side, own)
+    found = arrow_map(rows.select("a", "b", "x_n", "y_n", "x", "y"), compare, "a long, b long")
+    return stage(found, "possible")
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs whose whole sets reach the similarity. ``pairs`` is a written table."""
-    spark = docs.sparkSession
+    """The pairs whose whole sets reach the similarity. ``pairs`` is a written table.
+
+    Bitmaps, which only ever rule out what is no link, leave few pairs for whole sets.
+    """
+    pairs = _possible(pairs, sets, percent)
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    named = sets.filter("node is not null and id is not null")
-    keys = semi_join(named, nodes, "node").groupBy("node").agg(F.min("id").alias("id")).select("id")
-    nameless = sets.filter("node is not null").groupBy("node").agg(F.max("id").alias("id"))
-    nameless = nameless.filter("id is null")
+    known = semi_join(sets.select("node", "id"), nodes, "node").groupBy("node").agg(F.min("id").alias("id"))
+    known = stage(known, "known")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(words)
+        shingler, seen = Shingler(words), set()
         for rows in batches:
-            shingles = [shingler(text) for text in rows["text"].to_pylist()]
+            out = {}
+            for text in rows["text"].to_pylist():
+                shingles = shingler(text)
+                if len(shingles) and (node := _node(shingles)) not in seen:
+                    seen.add(node)
+                    # 48 bits tell apart the shingles of two documents.
+                    out[node] = (shingles >> np.uint64(16)).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([_node(s) if len(s) else None for s in shingles], pa.int64()),
-                    pa.array([s.tobytes() for s in shingles], pa.binary()),
-                ],
-                names=["node", "shingles"],
+                [pa.array(out, pa.int64()), pa.array(list(out.values()), pa.binary())], names=["node", "shingles"]
             )
 
-    wanted = semi_join(docs, keys, "id")
-    if not nameless.isEmpty():
-        wanted = wanted.union(docs.filter("id is null").select(*wanted.columns))
-    found = arrow_map(wanted, run, "node long, shingles binary").filter("node is not null")
-    found = stage(found.groupBy("node").agg(F.first("shingles").alias("shingles")), "shingles")
+    wanted = semi_join(docs, known.filter("id is not null"), "id").select("id", "text")
+    if not known.filter("id is null").isEmpty():
+        wanted = wanted.union(docs.filter("id is null").select("id", "text"))
+    found = arrow_map(wanted, run, "node long, shingles binary")
+    found = stage(semi_join(found, nodes, "node").groupBy("node").agg(F.first("shingles").alias("shingles")), "shingles")
+
+    def whole(data: bytes) -> np.ndarray:
+        out = np.zeros((len(data) // 6, 8), np.uint8)
+        out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+        return out.view(np.uint64).reshape(-1)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             same = []
             for left, right in zip(rows["x"].to_pylist(), rows["y"].to_pylist(), strict=True):
-                one, two = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
+                one, two = whole(left), whole(right)
                 both = len(np.intersect1d(one, two, assume_unique=True))
                 same.append(100 * both >= percent * (len(one) + len(two) - both))
             keep = pa.array(same, pa.bool_())
@@ -324,6 +389,7 @@ def jaccard_components(
     if not more.isEmpty():
         groups = components(links.union(more), "a", "b")
 
+    named = named.drop("bits")
     nodes = named.filter("node is not null").groupBy("node").agg(F.min("id").alias("id"))
     nodes = nodes.join(groups, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = nodes.groupBy("label").agg(F.min("id").alias("component_id"))

@@ -252,7 +252,7 @@ class Tagger:
     def decode(self, lines: list[list[str]]) -> list[np.ndarray]:
         """The best labels of each line's words; lines have words."""
         lines_by_size = sorted(range(len(lines)), key=lambda k: -len(lines[k]))
-        missing = set().union(*lines) - self.places.keys()
+        missing = set().union(*lines).difference(self.places)
         if len(self.places) + len(missing) > REMEMBERED:
             self._reset()
             missing = set().union(*lines)

@@ -102,7 +102,7 @@ class Features:
 
     def __call__(self, words: list[str], seen: dict[str, float]) -> tuple[np.ndarray, np.ndarray]:
         cells = self.cells
-        missing = set(words) - cells.keys()
+        missing = set(words).difference(cells)
         if len(cells) + len(missing) > REMEMBERED:
             cells.clear()
             missing = set(words)

@@ -247,7 +247,7 @@ class PrefixCounter:
                 pieces.update(PIECES.findall(lower))
         if len(self.solved) > REMEMBERED:
             self.solved.clear()
-        self.solve(list(pieces - self.solved.keys()))
+        self.solve(list(pieces.difference(self.solved)))
         for chunk in chunks:
             self.chunks[chunk] = self._chunk(chunk)
 
@@ -256,7 +256,7 @@ class PrefixCounter:
         split = [SPACE.split(text) for text in texts]
         if len(self.chunks) > REMEMBERED:
             self.chunks.clear()
-        self._learn(set().union(*split) - self.chunks.keys())
+        self._learn(set().union(*split).difference(self.chunks))
         # A white space changes nothing, and what follows it starts afresh.
         return [b"\0\0".join(map(self.chunks.__getitem__, chunks)) for chunks in split]
 
