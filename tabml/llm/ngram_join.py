@@ -20,6 +20,9 @@ MOST_MATCHES = 4
 CELLS, SLICES = 2**20, 64
 #: Cost of verifying a pair, in looked-up postings.
 VERIFY_COST = 40.0
+#: Partners that a turn of the first step gives a set, and its turns. The second step, which
+#: takes all pairs that are left, has no such bound.
+PARTNERS, SAMPLED = 8, 1
 #: Words whose hashes a worker remembers.
 REMEMBERED = 500_000
 
@@ -217,8 +220,11 @@ def _prefixes(docs: DataFrame, words: int, percent: int, sketch: np.ndarray) ->
 
 
 def _shared_prefixes(prefixes: DataFrame) -> DataFrame:
-    """Prefix rows whose token another set has in its prefix as well, with the token's first set."""
-    window = Window.partitionBy("token").orderBy("node")
+    """Prefix rows whose token another set has in its prefix as well, with the token's first set.
+
+    The order of a token's sets is its own, so that a set meets different ones at its tokens.
+    """
+    window = Window.partitionBy("token").orderBy(F.xxhash64("token", "node"), "node")
     first = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     heads = [F.first(name).over(first).alias(f"head_{name}") for name in ("node", "n", "place", "matches")]
     rows = prefixes.select(
@@ -255,6 +261,16 @@ def _pairs(rows: DataFrame, percent: int) -> DataFrame:
     return counted.filter("shared >= wanted").select("a", "b")
 
 
+def _some_partners(rows: DataFrame, percent: int) -> DataFrame:
+    """For each set ``b`` up to ``PARTNERS`` of its tokens' first sets, most shared tokens first."""
+    close = rows.filter(F.expr(_close("a_n", "b_n", percent)))
+    counted = close.groupBy("a", "b").agg(F.count("*").alias("shared"))
+    ranked = F.struct(-F.col("shared"), F.xxhash64("a", "b"), F.col("a").alias("a"))
+    best = counted.groupBy("b").agg(F.slice(F.array_sort(F.collect_list(ranked)), 1, PARTNERS).alias("best"))
+    pairs = best.select(F.explode("best.a").alias("a"), "b")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 _LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -335,6 +351,30 @@ def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, words: int, pe
     return stage(arrow_map(rows.select("a", "b", "x", "y"), compare, "a long, b long"), "links-found")
 
 
+_OWN = ("node", "n", "place", "matches")
+
+
+def _side(prefix: str, name: str) -> list:
+    """A set's columns under the names of one side of a pair."""
+    return [F.col(prefix + c).alias(name if c == "node" else f"{name}_{c}") for c in _OWN]
+
+
+def _open_rows(rows: DataFrame, groups: DataFrame, turn: int) -> DataFrame:
+    """Rows of tokens whose sets are still in several groups, each with a set of another group
+    that comes first in the order of this turn, if any does."""
+    members = rows.select("token", *_OWN).join(groups, "node", "left")
+    members = members.withColumn("label", F.coalesce("label", "node"))
+    spread = members.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    members = members.join(spread.filter("low != high").select("token"), "token", "left_semi")
+    order = Window.partitionBy("token").orderBy(F.xxhash64("token", "node", F.lit(turn)), "node")
+    first = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    names = [*_OWN, "label"]
+    found = members.select("token", *names, *[F.first(c).over(first).alias(f"head_{c}") for c in names])
+    # A set of the first one's group has nothing to gain from it.
+    same = F.col("head_label") == F.col("label")
+    return found.withColumn("head_node", F.when(same, F.col("node")).otherwise(F.col("head_node")))
+
+
 def jaccard_components(
     docs: DataFrame,
     words: int = 5,
@@ -352,8 +392,8 @@ def jaccard_components(
     ``l``; two sets with different ``l`` go by the smaller one, which no link can miss.
 
     Links are sought in two steps so that a group of near copies is not spelled out as pairs:
-    first every set against the first set of each of its tokens, then only pairs that are
-    still in different groups. Both steps verify whole sets.
+    first, in a few turns, every set against some that come first for one of its tokens, then
+    all pairs that are still in different groups. Both steps verify whole sets.
 
     Null text counts as empty; rows without words have 0 shingles and their own key as group.
     Rows with a null key take part, a group's id is its smallest key that is not null. Equal
@@ -367,23 +407,18 @@ def jaccard_components(
     prefixes = _prefixes(rows, words, percent, _sketch(sets))
     shared = stage(_shared_prefixes(prefixes), "prefixes")
 
-    own = ["node", "n", "place", "matches"]
-    b_side = [F.col(name).alias("b" if name == "node" else f"b_{name}") for name in own]
-    first = shared.filter("head_node != node").select(
-        *[F.col(f"head_{name}").alias("a" if name == "node" else f"a_{name}") for name in own], *b_side
-    )
     named = sets.filter("slice is null").drop("slice", "counts")
-    links = _verified(stage(_pairs(first, percent), "pairs"), rows, named, words, percent)
-    groups = components(links, "a", "b")
 
-    members = shared.select("token", *own).join(groups, "node", "left")
-    members = members.withColumn("label", F.coalesce("label", "node"))
-    spread = members.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    spread = spread.filter("low != high").select("token")
-    open_rows = stage(members.join(spread, "token", "left_semi"), "open")
-    a_side = [F.col(name).alias("a" if name == "node" else f"a_{name}") for name in own]
-    left = open_rows.select("token", F.col("label").alias("a_label"), *a_side)
-    right = open_rows.select("token", F.col("label").alias("b_label"), *b_side)
+    links, groups, open_rows = None, None, shared
+    for turn in range(SAMPLED):
+        first = open_rows.filter("head_node != node").select(*_side("head_", "a"), *_side("", "b"))
+        found = _verified(stage(_some_partners(first, percent), "pairs"), rows, named, words, percent)
+        links = found if links is None else links.union(found)
+        groups = components(links, "a", "b")
+        open_rows = stage(_open_rows(open_rows, groups, turn), "open")
+
+    left = open_rows.select("token", F.col("label").alias("a_label"), *_side("", "a"))
+    right = open_rows.select("token", F.col("label").alias("b_label"), *_side("", "b"))
     across = left.join(right, "token").filter("a < b and a_label != b_label")
     more = _verified(stage(_pairs(across, percent), "pairs"), rows, named, words, percent)
     if not more.isEmpty():
