@@ -134,9 +134,9 @@ def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, rounds: i
     """Accuracies of the labellers from how they agree, without any true label.
 
     ``patterns`` are the distinct rows of votes and ``counts`` how many texts have each. It
-    starts from the majority, so that good stays good, and smooths each rate by one vote.
+    starts with every text that any labeller calls bad as bad, and smooths each rate by one vote.
     """
-    good = (patterns == GOOD).sum(axis=1) - 2.0 * (patterns == BAD).sum(axis=1)
+    good = (patterns == GOOD).sum(axis=1) - 20.0 * (patterns == BAD).sum(axis=1)
     belief = 1 / (1 + np.exp(-good))
     model = LabelModel(0.5, np.full((2, patterns.shape[1], 3), 1 / 3))
     for _ in range(rounds):
@@ -234,7 +234,7 @@ def fit(docs: DataFrame, text: str = "text", key: str = "doc_id") -> tuple[Label
     belief = model.posterior(patterns)
     spark = docs.sparkSession
     sides = spark.createDataFrame(pd.DataFrame({"code": table["code"].astype("int32"), "belief": belief}))
-    voted = codes.join(F.broadcast(sides), "code").select("id", "belief")
+    voted = codes.filter("id is not null").join(F.broadcast(sides), "code").select("id", "belief")
     half = TRAINING_ROWS // 2
     order = F.xxhash64("id")
     low = voted.filter("belief < 0.5").orderBy(order, "id").limit(half)
