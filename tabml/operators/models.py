@@ -69,13 +69,17 @@ def n_features(frame: DataFrame, column: str = "features") -> int | None:
 
 
 def fit_linear(frame: DataFrame, estimator: LinearRegression | None = None) -> LinearRegressionModel:
-    """Fit, with the iterative solver where the table is too wide for the closed form."""
+    """Fit; a table too wide for the closed form is refused, not fitted another way."""
     estimator = estimator or linear_regression()
     width = n_features(frame, estimator.getFeaturesCol())
     if width is None:
-        width = frame.select(estimator.getFeaturesCol()).head()[0].size
+        first = frame.select(estimator.getFeaturesCol()).head()
+        width = first[0].size if first else 0
     if estimator.getSolver() == "normal" and width > MAX_NORMAL_FEATURES:
-        estimator = estimator.copy({estimator.solver: "l-bfgs", estimator.maxIter: 100})
+        raise ValueError(
+            f"{width} features are more than the closed form's {MAX_NORMAL_FEATURES}: "
+            'choose solver="l-bfgs" and its maxIter'
+        )
     return estimator.fit(frame)
 
 

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,8 +12,8 @@ from pyspark.sql import types as T
 from tabml.functions import is_missing, require_columns
 from tabml.operators.spec import FeatureSpec
 
-# Up to this many columns all pairs fit comfortably in one generated aggregate.
-MAX_PAIRWISE_COLUMNS = 16
+# So many pairs fit comfortably in one generated aggregate.
+PAIRS_PER_SCAN = 150
 
 
 def row_count(frame: DataFrame) -> DataFrame:
@@ -155,48 +154,27 @@ def frequency_table(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
 def correlation_matrix(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair, as rows ``(col_a, col_b, corr)``.
 
-    Uses the rows in which all the columns are present. A narrow table is one
-    generated aggregate; a wide one goes through the Gramian of the vector columns.
+    Uses the rows in which all the columns are present. Null where a column is constant or
+    no row is left. The pairs are aggregated in groups, one scan for each, so the work is
+    alike at any width.
     """
     require_columns(frame, columns)
     columns = list(columns)
-    complete = frame.select(*columns).dropna()
-    if len(columns) > MAX_PAIRWISE_COLUMNS:
-        return _wide_correlation(complete, columns)
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i + 1, len(columns))]
-    numbers = complete.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    one_row = numbers.agg(
-        *[F.corr(columns[i], columns[j]).alias(f"c{i}_{j}") for i, j in pairs],
-        *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(columns)],
-    )
-
-    def entry(i: int, j: int) -> Column:
-        if i == j:
-            return F.when(F.col(f"s{i}").isNotNull(), F.lit(1.0))
-        return F.col(f"c{min(i, j)}_{max(i, j)}")
-
-    return _long(
-        one_row,
-        [
-            F.struct(
-                F.lit(columns[i]).alias("col_a"),
-                F.lit(columns[j]).alias("col_b"),
-                entry(i, j).alias("corr"),
-            )
-            for i in range(len(columns))
-            for j in range(len(columns))
-        ],
-    )
-
-
-def _wide_correlation(complete: DataFrame, columns: list[str]) -> DataFrame:
-    vectors = VectorAssembler(inputCols=columns, outputCol="_vector").transform(complete)
-    matrix = Correlation.corr(vectors.select("_vector"), "_vector").head()[0].toArray()
-    names = F.array(*[F.lit(c) for c in columns])
-    rows = [(i, [float(x) for x in matrix[i]]) for i in range(len(columns))]
-    frame = complete.sparkSession.createDataFrame(rows, "i int, corrs array<double>")
-    return frame.select("i", F.posexplode("corrs").alias("j", "corr")).select(
-        F.element_at(names, F.col("i") + 1).alias("col_a"),
-        F.element_at(names, F.col("j") + 1).alias("col_b"),
-        "corr",
-    )
+    numbers = frame.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna()
+    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
+    parts = []
+    for first in range(0, len(pairs), PAIRS_PER_SCAN):
+        own = pairs[first : first + PAIRS_PER_SCAN]
+        one_row = numbers.agg(
+            *[F.covar_pop(columns[i], columns[j]).alias(f"c{i}_{j}") for i, j in own],
+            *[F.stddev_pop(columns[k]).alias(f"s{k}") for k in sorted({k for pair in own for k in pair})],
+        )
+        entries = []
+        for i, j in own:
+            scale = F.col(f"s{i}") * F.col(f"s{j}")
+            corr = F.when(scale > 0, F.lit(1.0) if i == j else F.col(f"c{i}_{j}") / scale)
+            for x, y in {(i, j), (j, i)}:
+                names = F.lit(columns[x]).alias("col_a"), F.lit(columns[y]).alias("col_b")
+                entries.append(F.struct(*names, corr.alias("corr")))
+        parts.append(_long(one_row, entries))
+    return reduce(DataFrame.union, parts)

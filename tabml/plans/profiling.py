@@ -77,7 +77,7 @@ def column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def describe_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
-    described = profile.describe(blocks(spark, sf_dir).dropna(subset=MEASURES), MEASURES)
+    described = profile.describe(blocks(spark, sf_dir), MEASURES)
     return _rounded(described, 4, "value")
 
 
@@ -195,8 +195,7 @@ ORACLES = {
         "count(*) AS n_rows FROM blocks"
         for i, (name, kind) in enumerate(BLOCK_TYPES.items())
     ),
-    "describe_numeric": f"WITH {BLOCKS}, complete AS (SELECT * FROM blocks WHERE {_COMPLETE}) "
-    + _describe_sql("complete", {c: "number" for c in MEASURES}),
+    "describe_numeric": f"WITH {BLOCKS} " + _describe_sql("blocks", {c: "number" for c in MEASURES}),
     "describe_all": f"WITH {BLOCKS} " + _describe_sql("blocks", BLOCK_TYPES),
     "global_agg": f"""WITH {BLOCKS}
 SELECT max(o_year) AS max_year, min(total_qty) AS min_qty, round(avg(total_ext), 4) AS avg_ext

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Estimator
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -75,7 +76,7 @@ def regression_report(prepared: Prepared, estimators: Mapping[str, Estimator] |
     }
     fitted = {
         name: models.fit_linear(prepared.train, estimator)
-        if name == "linear"
+        if isinstance(estimator, LinearRegression)
         else estimator.fit(prepared.train)
         for name, estimator in estimators.items()
     }

@@ -1,5 +1,6 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -78,19 +79,20 @@ def test_column_profile(edges):
     assert (rows["x"]["pos"], rows["x"]["type"], rows["x"]["n_missing"], rows["x"]["n_rows"]) == (1, "double", 2, 5)
 
 
-def test_wide_correlation_equals_narrow(spark, sf_dir, monkeypatch):
-    lineitem = load_table(spark, sf_dir, "lineitem")
-    columns = ["l_quantity", "l_extendedprice", "l_discount"]
+def test_correlation_alike_at_any_width(spark, monkeypatch):
+    rows = [(float(i), float(i * i), 7.0) for i in range(9)]
+    frame = spark.createDataFrame(rows, "a double, b double, c double")
+
+    def found(data):
+        return {(r[0], r[1]): r[2] for r in profile.correlation_matrix(data, ["a", "b", "c"]).collect()}
 
-    def collect():
-        rows = profile.correlation_matrix(lineitem, columns).collect()
-        return {(r["col_a"], r["col_b"]): r["corr"] for r in rows}
+    wide = found(frame)
+    monkeypatch.setattr(profile, "PAIRS_PER_SCAN", 2)
+    assert found(frame) == wide and len(wide) == 9
+    assert wide["c", "c"] is None and wide["a", "c"] is None and wide["a", "a"] == 1.0
+    assert math.isclose(wide["a", "b"], np.corrcoef([r[0] for r in rows], [r[1] for r in rows])[0, 1])
+    assert set(found(frame.limit(0)).values()) == {None}
 
-    narrow = collect()
-    monkeypatch.setattr(profile, "MAX_PAIRWISE_COLUMNS", 2)
-    wide = collect()
-    assert len(narrow) == 9 and narrow.keys() == wide.keys()
-    assert all(math.isclose(narrow[k], wide[k], abs_tol=1e-12) for k in narrow)
 
 
 def test_correlation_uses_complete_rows(spark):
