@@ -15,7 +15,7 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param.shared import HasInputCols, HasOutputCols
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabml.functions import missing_to_null, ratio, require_columns
@@ -29,7 +29,6 @@ MAX_DRIVER_BYTES = 64 * 1024 * 1024
 # The most frequent values of a longer list, and the text length, that a join may broadcast.
 HEAD_VALUES = 10_000
 HEAD_TEXT_LENGTH = 256
-HEAD_SPREAD = 4096
 
 
 # --- columns -----------------------------------------------------------------------------
@@ -130,26 +129,62 @@ class CategoryIndexer(Estimator, HasInputCols, HasOutputCols):
     """``StringIndexer`` by frequency, without a bound on the number of values.
 
     Where the values fit on the driver this *is* ``StringIndexer``. Beyond, the
-    mapping stays a staged table and indexing is a join.
+    mapping stays a staged table and indexing is a join. Both give the same column: the
+    same numbers, and an attribute with how many values there are.
+
+    A value that is missing or was not there when the index was learned is an error, or
+    with ``unseen="rarest"`` counts as the rarest category, the one of the last index.
     """
 
     @keyword_only
-    def __init__(self, *, inputCols: list[str], outputCols: list[str]):
+    def __init__(self, *, inputCols: list[str], outputCols: list[str], unseen: str = "error"):
         super().__init__()
+        if unseen not in ("error", "rarest"):
+            raise ValueError(f"unseen is 'error' or 'rarest', not {unseen!r}")
         self.driver_bytes = MAX_DRIVER_BYTES
-        self._set(**self._input_kwargs)
+        self.unseen = unseen
+        self._set(inputCols=inputCols, outputCols=outputCols)
 
     def _fit(self, dataset: DataFrame) -> Model:
         columns = self.getInputCols()
         if fits_on_driver(dataset, columns, self.driver_bytes):
-            return StringIndexer(
+            indexer = StringIndexer(
                 inputCols=columns,
                 outputCols=self.getOutputCols(),
                 stringOrderType="frequencyDesc",
-                handleInvalid="error",
+                handleInvalid="error" if self.unseen == "error" else "keep",
             ).fit(dataset)
+            sizes = [len(labels) for labels in indexer.labelsArray]
+            return self._copyValues(CategoryListModel(indexer, sizes))
         mapping = stage(category_mapping(dataset, columns), "categories")
-        return self._copyValues(CategoryJoinModel(mapping))
+        found = dict(mapping.groupBy("column").agg(F.count("*")).collect())
+        sizes = [found.get(column, 0) for column in columns]
+        return self._copyValues(CategoryJoinModel(mapping, sizes, self.unseen))
+
+
+def _index_column(value: Column, name: str, size: int) -> Column:
+    """An index under its name, with the attribute that says how many values it may have."""
+    attribute = {"type": "nominal", "name": name, "num_vals": size}
+    return value.alias(name, metadata={"ml_attr": attribute})
+
+
+class CategoryListModel(Model, HasInputCols, HasOutputCols):
+    """A fitted ``StringIndexer``; what it keeps as unknown becomes the last index."""
+
+    def __init__(self, indexer: Model, sizes: list[int]):
+        super().__init__()
+        self.indexer, self.sizes = indexer, sizes
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        indexed = self.indexer.transform(dataset)
+        last = {name: float(max(0, n - 1)) for name, n in zip(self.getOutputCols(), self.sizes, strict=True)}
+        sizes = dict(zip(self.getOutputCols(), self.sizes, strict=True))
+        return indexed.select(
+            *[
+                _index_column(F.least(F.col(name), F.lit(last[name])), name, sizes[name]) if name in sizes else F.col(name)
+                for name in indexed.columns
+            ]
+        )
 
 
 class CategoryJoinModel(Model, HasInputCols, HasOutputCols):
@@ -162,16 +197,16 @@ class CategoryJoinModel(Model, HasInputCols, HasOutputCols):
     over that join.
     """
 
-    def __init__(self, mapping: DataFrame):
+    def __init__(self, mapping: DataFrame, sizes: list[int], unseen: str):
         super().__init__()
-        self.mapping = mapping
+        self.mapping, self.sizes, self.unseen = mapping, sizes, unseen
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        for source, target in zip(self.getInputCols(), self.getOutputCols(), strict=True):
-            dataset = self._index(dataset, source, target)
+        for source, target, size in zip(self.getInputCols(), self.getOutputCols(), self.sizes, strict=True):
+            dataset = self._index(dataset, source, target, size)
         return dataset
 
-    def _index(self, frame: DataFrame, source: str, target: str) -> DataFrame:
+    def _index(self, frame: DataFrame, source: str, target: str, size: int) -> DataFrame:
         mapping = self.mapping.where(F.col("column") == source)
         is_head = (F.col("idx") < HEAD_VALUES) & (F.length("value") <= HEAD_TEXT_LENGTH)
         head = mapping.where(is_head).select(
@@ -185,7 +220,8 @@ class CategoryJoinModel(Model, HasInputCols, HasOutputCols):
         text = F.col(source).cast("string")
         looked_up = frame.join(F.broadcast(head), text == F.col("_head_value"), "left")
         done = F.col("_head_idx").isNotNull()
-        spread = F.pmod(F.xxhash64(*frame.columns), F.lit(HEAD_SPREAD)).cast("string")
+        # Rows that are answered are spread by all their columns.
+        spread = F.xxhash64(*frame.columns).cast("string")
         keyed = looked_up.select(
             *frame.columns,
             "_head_idx",
@@ -196,11 +232,12 @@ class CategoryJoinModel(Model, HasInputCols, HasOutputCols):
             F.col("_text") == F.col("_tail_value")
         )
         found = F.coalesce("_head_idx", "_tail_idx")
-        unknown = F.raise_error(
-            F.concat(F.lit(f"missing or unseen value in {source}: "), F.coalesce(text, F.lit("null")))
-        )
+        unknown = F.lit(float(max(0, size - 1)))
+        if self.unseen == "error":
+            message = F.concat(F.lit(f"missing or unseen value in {source}: "), F.coalesce(text, F.lit("null")))
+            unknown = F.raise_error(message).cast("double")
         return keyed.join(tail, matches, "left").select(
-            *frame.columns, F.coalesce(found, unknown.cast("double")).alias(target)
+            *frame.columns, _index_column(F.coalesce(found, unknown), target, size)
         )
 
 
@@ -210,8 +247,8 @@ def index_categories(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _indexer(columns).fit(frame).transform(frame)
 
 
-def _indexer(columns: Sequence[str]) -> CategoryIndexer:
-    return CategoryIndexer(inputCols=list(columns), outputCols=[f"{c}_idx" for c in columns])
+def _indexer(columns: Sequence[str], unseen: str = "error") -> CategoryIndexer:
+    return CategoryIndexer(inputCols=list(columns), outputCols=[f"{c}_idx" for c in columns], unseen=unseen)
 
 
 def _encoder(columns: Sequence[str]) -> OneHotEncoder:
@@ -255,9 +292,9 @@ def numeric_pipeline(
     return Pipeline(stages=stages)
 
 
-def category_pipeline(columns: Sequence[str]) -> Pipeline:
+def category_pipeline(columns: Sequence[str], unseen: str = "error") -> Pipeline:
     """Index by frequency into ``<c>_idx``, encode into ``<c>_onehot``."""
-    return Pipeline(stages=[_indexer(columns), _encoder(columns)])
+    return Pipeline(stages=[_indexer(columns, unseen), _encoder(columns)])
 
 
 def feature_pipeline(
@@ -265,16 +302,18 @@ def feature_pipeline(
     impute: Sequence[str] | None = None,
     relative_error: float | None = None,
     with_mean: bool = False,
+    unseen: str = "rarest",
 ) -> Pipeline:
     """Everything from raw columns to the ``features`` vector, as one flat pipeline.
 
-    ``impute`` defaults to all numeric columns.
+    ``impute`` defaults to all numeric columns. Categories that only other rows have, and
+    missing ones, count as the rarest; ``unseen="error"`` refuses them.
     """
     impute = spec.numeric if impute is None else impute
     numbers = numeric_pipeline(spec.numeric, impute, relative_error, with_mean)
     stages, onehots = list(numbers.getStages()), [f"{c}_onehot" for c in spec.categorical]
     if spec.categorical:
-        stages += category_pipeline(spec.categorical).getStages()
+        stages += category_pipeline(spec.categorical, unseen).getStages()
     inputs = ["scaled", *onehots] if spec.numeric_first else [*onehots, "scaled"]
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features"))
     return Pipeline(stages=stages)

@@ -27,7 +27,7 @@ def running_totals(
     A window over the whole order would run in one task. Instead the rows are
     range-sorted once and written with the number of their range; each range is
     then summed on its own, and gets the sum of the ranges before it added from a
-    table that has one row per range and group.
+    table that has at most one row per range.
 
     ``order_by`` must tell rows of a group apart, and callers group equal rows
     first, so no range can be filled by one repeated value.
@@ -55,15 +55,20 @@ def running_totals(
         .select(
             F.col("_range").alias("_at_range"),
             *[F.col(name).alias(f"_at_{name}") for name in by],
+            F.row_number().over(Window.partitionBy(*by).orderBy("_range")).alias("_nth"),
             *[F.coalesce(F.sum(f"_sum_{n}").over(across), F.lit(0)).alias(f"_off_{n}") for n in totals],
         )
+        .where("_nth > 1")
+        .drop("_nth")
     )
     same = F.col("_range") == F.col("_at_range")
     for name in by:
         same = same & F.col(name).eqNullSafe(F.col(f"_at_{name}"))
-    # The order starts with the group, so there are at most (ranges + groups) offsets.
-    return inner.join(F.broadcast(offsets), same).select(
-        *frame.columns, *[(F.col(f"_in_{n}") + F.col(f"_off_{n}")).alias(n) for n in totals]
+    # The order starts with the group, so one group at most goes on across each range's start:
+    # there are fewer offsets than ranges, however many groups there are.
+    return inner.join(F.broadcast(offsets), same, "left").select(
+        *frame.columns,
+        *[(F.col(f"_in_{n}") + F.coalesce(F.col(f"_off_{n}"), F.lit(0))).alias(n) for n in totals],
     )
 
 

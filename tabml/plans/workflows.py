@@ -43,11 +43,13 @@ def prepare(
     prefit: bool = False,
     fraction: float = 0.8,
     restage: bool = True,
+    unseen: str = "rarest",
 ) -> Prepared:
     """Split, then fit the feature pipeline on the training rows.
 
     ``prefit`` fits it on all rows before the split, which leaks test rows into
-    medians, scales and category orders.
+    medians, scales and category orders. A category that only the test rows have counts
+    as the rarest of the training rows, unless ``unseen`` is "error".
 
     The training vectors are staged because every model reads them many times. So
     are the raw columns, which each fitted stage reads, unless ``restage`` says that
@@ -59,7 +61,7 @@ def prepare(
     if restage:
         raw = stage(spread(raw, spec.key), "input")
     train, test = train_test_split(raw, spec.key, fraction)
-    pipeline = feature_pipeline(spec, impute).fit(raw if prefit else train)
+    pipeline = feature_pipeline(spec, impute, unseen=unseen).fit(raw if prefit else train)
     vectors = training_frame(pipeline, spread(train, spec.key), spec)
     return Prepared(
         stage(vectors, "train", sort_within=[spec.key]), training_frame(pipeline, test, spec)

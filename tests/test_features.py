@@ -100,6 +100,17 @@ def test_missing_or_unseen_category_is_an_error(spark, bad):
             model.transform(other).collect()
 
 
+@pytest.mark.parametrize("driver_bytes", [features.MAX_DRIVER_BYTES, 0])
+def test_unseen_category_counts_as_the_rarest(spark, driver_bytes):
+    frame = spark.createDataFrame([(s,) for s in "aaabbc"], "s string")
+    other = spark.createDataFrame([("a",), ("b",), (None,), ("zzz",)], "s string")
+    indexer = features.CategoryIndexer(inputCols=["s"], outputCols=["i"], unseen="rarest")
+    indexer.driver_bytes = driver_bytes
+    indexed = indexer.fit(frame).transform(other)
+    assert {r["s"]: r["i"] for r in indexed.collect()} == {"a": 0, "b": 1, None: 2, "zzz": 2}
+    assert indexed.schema["i"].metadata == {"ml_attr": {"type": "nominal", "name": "i", "num_vals": 3}}
+
+
 def test_joined_index_equals_string_indexer(spark, sf_dir, monkeypatch):
     """Values in the broadcast head, in the shuffled tail, a hot one, a long one."""
     monkeypatch.setattr(features, "HEAD_VALUES", 5)
