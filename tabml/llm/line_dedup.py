@@ -17,8 +17,10 @@ from tabml.sources.staging import stage
 #: Bits in which two lines' SimHashes may differ; one block more than that finds them.
 DISTANCE = 3
 BLOCKS = DISTANCE + 1
-#: Bits of a SimHash, and widths of the lanes that count them; each divides the bits.
-BITS, LANES = 63, (9, 21, 63)
+#: Bits of a SimHash, and the width of the lanes that count them, which divides the bits.
+BITS, LANE = 63, 9
+#: Words of a line from which on a lane could overflow.
+NARROW = 2 ** (LANE - 1)
 BLOCK_BITS = -(-BITS // BLOCKS)
 #: Fewest words of a line that can be a duplicate; shorter ones are left alone.
 LEAST_WORDS = 3
@@ -35,62 +37,70 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.lower(text), r"[\x00-\x09\x0b-/:-@\[-`{-\xbf]+", " ")
 
 
-def _simhash(hashes: Column, count: Column, width: int) -> Column:
-    """The bits that more than half of the features have, for fewer than 2 ** (width - 1) words.
+def _with_simhash(rows: DataFrame) -> DataFrame:
+    """``sim`` in place of ``hashes`` and ``count``: the bits that more than half of the features have.
 
-    A feature is a word's hash with the one before it, so word order counts. Number j of the
-    sums adds up the bits j, j + width, j + 2 * width, ... of all features, each in a lane of
-    ``width`` bits. Adding to each lane what half the features lack to its highest bit leaves
-    that bit as the answer.
+    A feature is a word's hash with the one before it, so word order counts. Words are exploded
+    and summed by line. Sum number j of a line of fewer than ``NARROW`` words adds up the bits j,
+    j + LANE, j + 2 * LANE, ... of its features, each in a lane of ``LANE`` bits; adding to each
+    lane what half the features lack to its highest bit leaves that bit as the answer. A longer
+    line is summed in parts of ``LANE`` bits, whose counts have a whole number each; it comes
+    back as a row for each ``part``, and the parts' ``sim`` add up by a bitwise or.
     """
-    lanes = range(0, BITS, width)
+    lanes = range(0, BITS, LANE)
     ones = F.lit(sum(1 << lane for lane in lanes)).cast("long")
-    tops = F.lit(sum(1 << (lane + width - 1) for lane in lanes)).cast("long")
-    names = [f"n{j}" for j in range(width)]
-
-    def add(acc: Column, word: Column) -> Column:
-        feature = acc["p"].bitwiseXOR(F.shiftleft(word, 1))
-        sums = [
-            (acc[n] + F.shiftrightunsigned(feature, j).bitwiseAND(ones)).alias(n)
-            for j, n in enumerate(names)
-        ]
-        return F.struct(word.alias("p"), *sums)
-
-    def finish(acc: Column) -> Column:
-        lacking = (F.lit(2 ** (width - 1) - 1).cast("long") - F.floor(count / 2)) * ones
-        bits = [
-            F.shiftrightunsigned((acc[n] + lacking).bitwiseAND(tops), width - 1 - j)
-            for j, n in enumerate(names)
-        ]
-        return reduce(Column.bitwiseOR, bits)
+    tops = F.lit(sum(1 << (lane + LANE - 1) for lane in lanes)).cast("long")
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    keys = [name for name in rows.columns if name != "hashes"]
+
+    # The outer explode, as a plain one has Spark hash all words once more to filter empty arrays.
+    parts = F.sequence(F.lit(0), F.lit(BITS // LANE - 1))
+    parts = F.when(F.col("count") < NARROW, F.array(F.lit(0))).otherwise(parts)
+    rows = rows.withColumn("part", F.explode(parts)).select("*", F.posexplode_outer("hashes").alias("at", "word"))
+    before = F.when(F.col("at") > 0, F.get("hashes", F.col("at") - 1)).otherwise(F.lit(_SEED).cast("long"))
+    feature = before.bitwiseXOR(F.shiftleft("word", 1))
+    # Spark's functions shift by a constant, its expressions by a column as well.
+    rows = rows.select(*keys, "part", feature.alias("feature"))
+    rows = rows.withColumn("feature", F.expr(f"shiftrightunsigned(feature, {LANE} * part)"))
+    mask = F.when(F.col("count") < NARROW, ones).otherwise(one)
+    sums = [
+        F.sum(F.shiftrightunsigned("feature", j).bitwiseAND(mask)).alias(f"n{j}") for j in range(LANE)
+    ]
+    summed = rows.groupBy(*keys, "part").agg(*sums)
 
-    zero = F.lit(0).cast("long")
-    start = F.struct(F.lit(_SEED).cast("long").alias("p"), *[zero.alias(n) for n in names])
-    return F.aggregate(hashes, start, add, finish)
+    half = F.floor(F.col("count") / 2)
+    lacking = (F.lit(NARROW - 1).cast("long") - half) * ones
+    narrow = [
+        F.shiftrightunsigned((F.col(f"n{j}") + lacking).bitwiseAND(tops), LANE - 1 - j) for j in range(LANE)
+    ]
+    wide = [F.when(F.col(f"n{j}") > half, F.lit(1 << j).cast("long")).otherwise(zero) for j in range(LANE)]
+    summed = summed.withColumn("wide", reduce(Column.bitwiseOR, wide))
+    sim = F.when(F.col("count") < NARROW, reduce(Column.bitwiseOR, narrow))
+    sim = sim.otherwise(F.expr(f"shiftleft(wide, {LANE} * part)"))
+    return summed.select(*[name for name in keys if name != "count"], "part", sim.alias("sim"))
 
 
 def line_table(docs: DataFrame, text: str, key: str) -> DataFrame:
-    """``id, mark, pos, node, n_chars, sim`` for every line that can be a duplicate.
+    """``id, mark, pos, node, n_chars, part, sim`` for every line that can be a duplicate.
 
     ``mark`` tells rows of the same key apart by their text, ``node`` names the normalised line.
+    A line of ``NARROW`` words or more has a row for each part of its SimHash.
     """
     rows = docs.select(
         col(key).cast("long").alias("id"),
         F.xxhash64(col(text).cast("string")).alias("mark"),
+        # Keeps equal rows apart, whose words would be summed together.
+        F.monotonically_increasing_id().alias("row"),
         F.posexplode(F.split(normalised(col(text).cast("string")), "\n", -1)).alias("pos", "line"),
     )
-    rows = rows.withColumn("line", F.trim("line")).withColumn("words", F.split("line", " "))
-    rows = rows.withColumn("count", F.size("words")).filter(F.col("count") >= LEAST_WORDS)
+    rows = rows.withColumn("line", F.trim("line"))
+    blanks = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit("")))
+    rows = rows.withColumn("count", blanks + 1).filter(F.col("count") >= LEAST_WORDS)
     rows = rows.select(
-        "id", "mark", "pos", F.unhex(F.md5("line")).alias("node"), F.length("line").alias("n_chars"), "count",
-        F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"),
+        "id", "mark", "row", "pos", F.unhex(F.md5("line")).alias("node"), F.length("line").alias("n_chars"), "count",
+        F.transform(F.split("line", " "), lambda w: F.xxhash64(w)).alias("hashes"),
     )
-    # Wider lanes only where a count could overflow the narrow ones; the bits are the same.
-    count, sim = F.col("count"), None
-    for width in LANES:
-        own = _simhash(F.col("hashes"), count, width)
-        sim = F.when(count < 2 ** (width - 1), own) if sim is None else sim.when(count < 2 ** (width - 1), own)
-    return rows.select("id", "mark", "pos", "node", "n_chars", sim.alias("sim"))
+    return _with_simhash(rows).drop("row")
 
 
 def _block(sim: Column, number: int) -> Column:
@@ -152,8 +162,8 @@ def dropped_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") -> D
     lines = stage(line_table(docs, text, key), "lines")
     distinct = lines.groupBy("node").agg(
         F.min(F.struct("id", "mark", "pos")).alias("first"),
-        F.count("*").alias("n"),
-        F.first("sim").alias("sim"),
+        F.count_if(F.col("part") == 0).alias("n"),
+        F.bit_or("sim").alias("sim"),
         F.first("n_chars").alias("n_chars"),
     )
     distinct = stage(distinct, "distinct-lines")
@@ -163,7 +173,7 @@ def dropped_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") -> D
     least = groups.join(distinct.select("node", "first"), "node").groupBy("label").agg(F.min("first").alias("keep"))
     repeated = grouped.join(least, "label", "left").withColumn("keep", F.coalesce("keep", "first"))
     repeated = stage(repeated.filter("n > 1 or keep != first").select("node", "keep"), "repeated")
-    hit = lines.join(_small(repeated, BROADCAST_ROWS), "node")
+    hit = lines.filter("part = 0").join(_small(repeated, BROADCAST_ROWS), "node")
     here = F.struct("id", "mark", "pos")
     gone = hit.filter(~here.eqNullSafe(F.col("keep"))).select("id", "mark", "pos").distinct()
     return gone.groupBy("id", "mark").agg(F.collect_list("pos").alias("drops"))
