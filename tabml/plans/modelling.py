@@ -71,7 +71,8 @@ def prepared_lines(spark: SparkSession, sf_dir: str) -> workflows.Prepared:
 
 def _split(frame: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """Staged first, as training reads it more than once."""
-    return train_test_split(stage(spread(frame, key), "vectors", sort_within=[key]), key)
+    train, test = train_test_split(stage(frame, "vectors"), key)
+    return spread(train, key), test
 
 
 def _rounded(frame: DataFrame, digits: int, *columns: str) -> DataFrame:
@@ -227,7 +228,7 @@ def logistic_saturated(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("o_orderstatus") == "F").cast("double").alias("label"),
         F.col("o_orderpriority_onehot").alias("features"),
     )
-    staged = stage(spread(encoded, KEY), "vectors", sort_within=[KEY])
+    staged = spread(stage(encoded, "vectors"), KEY)
     model = models.logistic_regression(tol=1e-10).fit(staged)
     predictions = models.predict(model, staged, [KEY, "o_orderpriority"])
     return _rounded(predictions, 5, "probability")

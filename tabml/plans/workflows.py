@@ -15,7 +15,7 @@ from tabml.operators.evaluate import classification_metrics, regression_metrics,
 from tabml.operators.features import feature_pipeline, training_frame
 from tabml.operators.spec import FeatureSpec
 from tabml.operators.split import train_test_split
-from tabml.operators.tune import Candidate, compare_models, cross_validate, param_grid
+from tabml.operators.tune import Candidate, compare_models, cross_validate, param_grid, stage_folds
 from tabml.sources.staging import spread, stage
 
 # The grids the workloads search.
@@ -44,6 +44,7 @@ def prepare(
     fraction: float = 0.8,
     restage: bool = True,
     unseen: str = "rarest",
+    partitions: int | None = None,
 ) -> Prepared:
     """Split, then fit the feature pipeline on the training rows.
 
@@ -53,19 +54,17 @@ def prepare(
 
     The training vectors are staged because every model reads them many times. So
     are the raw columns, which each fitted stage reads, unless ``restage`` says that
-    ``frame`` is as good as a written table.
+    ``frame`` is as good as a written table. ``partitions`` is that of ``spread``.
     """
     spec.check(frame)
     columns = [spec.key, spec.label, *spec.numeric, *spec.categorical]
     raw = frame.select(*columns).where(F.col(spec.label).isNotNull())
     if restage:
-        raw = stage(spread(raw, spec.key), "input")
+        raw = stage(raw, "input")
     train, test = train_test_split(raw, spec.key, fraction)
     pipeline = feature_pipeline(spec, impute, unseen=unseen).fit(raw if prefit else train)
-    vectors = training_frame(pipeline, spread(train, spec.key), spec)
-    return Prepared(
-        stage(vectors, "train", sort_within=[spec.key]), training_frame(pipeline, test, spec)
-    )
+    vectors = stage(training_frame(pipeline, train, spec), "train")
+    return Prepared(spread(vectors, spec.key, partitions), training_frame(pipeline, test, spec))
 
 
 def regression_report(prepared: Prepared, estimators: Mapping[str, Estimator] | None = None) -> DataFrame:
@@ -90,14 +89,15 @@ def tuned_classifiers(
     key: str,
     searches: Mapping[str, tuple[Estimator, Sequence[Candidate]]] | None = None,
 ) -> dict:
-    """The best model of each search, chosen by cross-validated AUC of scores."""
+    """The best model of each search, chosen by cross-validated AUC of scores, on the same folds."""
     searches = searches or {
         "logistic": (models.logistic_regression(), param_grid(LOGISTIC_GRID)),
         "tree": (models.tree_classifier(), param_grid(TREE_GRID)),
         "forest": (models.forest_classifier(), param_grid(FOREST_GRID)),
     }
+    staged = stage_folds(prepared.train, key)
     return {
-        name: cross_validate(prepared.train, estimator, grid, "auc_score", key).best_model
+        name: cross_validate(prepared.train, estimator, grid, "auc_score", key, staged=staged).best_model
         for name, (estimator, grid) in searches.items()
     }
 

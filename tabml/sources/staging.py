@@ -12,6 +12,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _local_dirs: dict[str, str] = {}
 
@@ -33,25 +34,21 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
-# About what one scan task reads (spark.sql.files.maxPartitionBytes).
-TASK_BYTES = 128 * 1024 * 1024
+def spread(frame: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """``partitions`` parts by a hash of all columns, each sorted by key and that hash.
 
-
-def input_bytes(frame: DataFrame) -> int:
-    """The optimizer's size of the tables ``frame`` reads, pruned columns left out."""
-    leaves = frame._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-
-
-def spread(frame: DataFrame, key: str) -> DataFrame:
-    """Give a table too small for the cluster one partition per core, by key hash.
-
-    A small input is one or a few tasks, and every training pass over it would run
-    in as few. Where the input has a scan task for each core, the frame is returned
-    as it is, without a shuffle.
+    Learners that sample rows or cut candidates do so part by part, so parts of a fixed
+    number and order give the same model on any number of cores and for any layout of the
+    files. Apply it after the read of a staged table, as a read cuts parts by cores. The
+    number is ``spark.sql.shuffle.partitions`` unless given; another number may give
+    another model. All columns are hashed, as a key may be missing or frequent.
     """
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    return frame.repartition(cores, key) if input_bytes(frame) < cores * TASK_BYTES else frame
+    spark = frame.sparkSession
+    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # A map cannot be hashed.
+    fields = [f for f in frame.schema.fields if "map<" not in f.dataType.simpleString()]
+    row = F.xxhash64(*[F.col("`" + f.name.replace("`", "``") + "`") for f in fields])
+    return frame.repartition(partitions, row).sortWithinPartitions(key, row)
 
 
 def stage_path(spark: SparkSession, name: str) -> str:

@@ -135,13 +135,21 @@ def test_probabilities(line_vectors, make, params):
 
 
 def test_a_forest_repeats(spark, sf_dir):
-    def total():
+    """Whatever the files are cut into: a read cuts them by cores."""
+
+    def total(parts):
         frame = modelling.labelled_blocks(spark, sf_dir, ["n_lines", "o_year", "o_totalprice"])
-        staged = stage(spread(frame, "o_orderkey"), "repeat", sort_within=["o_orderkey"])
+        staged = spread(stage(frame.repartition(parts), "repeat"), "o_orderkey", 6)
         model = models.forest_regression(numTrees=5, maxDepth=4).fit(staged)
         return sorted(r["prediction"] for r in models.predict(model, staged, []).collect())
 
-    assert total() == total()
+    assert total(1) == total(1) == total(5)
+
+
+def test_spread_splits_missing_and_frequent_keys(spark):
+    frame = spark.range(1000).selectExpr("CAST(NULL AS LONG) AS k", "id AS `a.b`", "map(id, id) AS m")
+    parts = spread(frame, "k", 4).groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) == 4 and min(r["count"] for r in parts) > 150
 
 
 def test_embeddings_are_a_ready_feature_matrix(spark, sf_dir):
