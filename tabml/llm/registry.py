@@ -11,11 +11,14 @@ from tabml.llm import (
     decontaminate,
     language,
     line_dedup,
+    minhash,
     mixing,
     ngram_join,
     pii,
     quality,
+    repair,
     token_counts,
+    whitening,
 )
 from tabml.llm.common import table
 
@@ -72,6 +75,18 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(docs, counts=True)
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -85,33 +100,42 @@ QUERIES = {
         op8_chat,
         op9_quality,
         op10_line_dedup,
+        op11_repair,
+        op12_whitening,
+        op13_minhash,
     )
 }
 
-ORACLES = {
-    "op3_ngram_join": r"""
+def _jaccard_sql(words: int, percent: int, more: str = "") -> str:
+    """Groups of texts linked by the Jaccard similarity of their shingle sets."""
+    shingle = " || ' ' || ".join(["w[i]", *(f"w[i + {k}]" for k in range(1, words))])
+    return rf"""
 WITH RECURSIVE words AS (
   SELECT doc_id, [x for x in string_split_regex(translate(coalesce(text, ''),
       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\n\v\f\r]+') if x <> ''] AS w
   FROM documents),
 sets AS (
-  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] || ' ' || w[i + 4]
-      for i in range(1, len(w) - 3)]) END AS s
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {words} THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([{shingle} for i in range(1, len(w) - {words - 2})]) END AS s
   FROM words),
 shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
 links AS (
   SELECT a.doc_id AS a, b.doc_id AS b
   FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
   GROUP BY a.doc_id, b.doc_id, a.n, b.n
-  HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+  HAVING 100 * count(*) >= {percent} * (a.n + b.n - count(*))),
 reach AS (
   SELECT DISTINCT a AS root, a AS node FROM links
   UNION
   SELECT r.root, l.b FROM reach r JOIN links l ON l.a = r.node),
 least AS (SELECT root, min(node) AS component_id FROM reach GROUP BY root)
-SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(l.component_id, s.doc_id) AS component_id
-FROM sets s LEFT JOIN least l ON l.root = s.doc_id""",
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(l.component_id, s.doc_id) AS component_id{more}
+FROM sets s LEFT JOIN least l ON l.root = s.doc_id"""
+
+
+ORACLES = {
+    "op3_ngram_join": _jaccard_sql(5, 75),
+    "op13_minhash": _jaccard_sql(4, 80, ", s.doc_id = coalesce(l.component_id, s.doc_id) AS kept"),
     "op4_content_sort": """
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
   doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
