@@ -3,8 +3,10 @@ from tabml.functions.columns import (
     hash_position,
     is_missing,
     missing_to_null,
+    named,
     ratio,
     require_columns,
+    row_text,
 )
 
 __all__ = [
@@ -12,6 +14,8 @@ __all__ = [
     "hash_position",
     "is_missing",
     "missing_to_null",
+    "named",
     "ratio",
     "require_columns",
+    "row_text",
 ]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
@@ -11,14 +11,17 @@ from pyspark.ml.feature import (
     OneHotEncoder,
     StandardScaler,
     StringIndexer,
+    StringIndexerModel,
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.param import Params
 from pyspark.ml.param.shared import HasInputCols, HasOutputCols
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabml.functions import missing_to_null, ratio, require_columns
+from tabml.functions import missing_to_null, named, ratio, require_columns
 from tabml.operators.profile import frequency_table
 from tabml.operators.ranking import exact_medians, running_totals
 from tabml.operators.spec import FeatureSpec
@@ -50,10 +53,45 @@ def drop(frame: DataFrame, *names: str) -> DataFrame:
     return frame.drop(*names)
 
 
+# --- saving ------------------------------------------------------------------------------
+
+
+class _Writer(MLWriter):
+    """Settings as metadata, and the parts that are tables or models of Spark's in folders beside it."""
+
+    def __init__(self, instance: Params, data: dict, parts: Mapping[str, DataFrame | Model]):
+        super().__init__()
+        self.instance, self.data, self.parts = instance, data, parts
+
+    def saveImpl(self, path: str) -> None:
+        columns = {"inputCols": self.instance.getInputCols(), "outputCols": self.instance.getOutputCols()}
+        DefaultParamsWriter.saveMetadata(self.instance, path, self.sc, extraMetadata={"data": columns | self.data})
+        for name, part in self.parts.items():
+            if isinstance(part, DataFrame):
+                part.write.parquet(f"{path}/{name}")
+            else:
+                part.save(f"{path}/{name}")
+
+
+class _Reader(MLReader):
+    """Makes the instance from its metadata by ``make(path, data, spark)``."""
+
+    def __init__(self, cls: type, make: Callable[[str, dict, SparkSession], Params]):
+        super().__init__()
+        self.cls, self.make = cls, make
+
+    def load(self, path: str) -> Params:
+        metadata = DefaultParamsReader.loadMetadata(path, self.sc)
+        instance = self.make(path, metadata["data"], self.sparkSession)
+        instance._resetUid(metadata["uid"])
+        DefaultParamsReader.getAndSetParams(instance, metadata)
+        return instance
+
+
 # --- imputation --------------------------------------------------------------------------
 
 
-class MedianImputer(Estimator, HasInputCols, HasOutputCols):
+class MedianImputer(Estimator, HasInputCols, HasOutputCols, MLWritable, MLReadable):
     """Fill null and NaN with the exact median of the column.
 
     ``Imputer`` with ``relativeError=0`` would gather every distinct value on the
@@ -69,8 +107,15 @@ class MedianImputer(Estimator, HasInputCols, HasOutputCols):
         model = MedianImputerModel(exact_medians(dataset, self.getInputCols()))
         return self._copyValues(model)
 
+    def write(self) -> MLWriter:
+        return _Writer(self, {}, {})
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _Reader(cls, lambda path, data, spark: cls(inputCols=data["inputCols"], outputCols=data["outputCols"]))
 
-class MedianImputerModel(Model, HasInputCols, HasOutputCols):
+
+class MedianImputerModel(Model, HasInputCols, HasOutputCols, MLWritable, MLReadable):
     def __init__(self, surrogates: dict[str, float | None]):
         super().__init__()
         self.surrogates = surrogates
@@ -84,6 +129,13 @@ class MedianImputerModel(Model, HasInputCols, HasOutputCols):
             filled[target] = F.coalesce(present, F.lit(self.surrogates[source]))
         return dataset.withColumns(filled)
 
+    def write(self) -> MLWriter:
+        return _Writer(self, {"surrogates": self.surrogates}, {})
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _Reader(cls, lambda path, data, spark: cls(data["surrogates"]))
+
 
 def median_imputer(
     columns: Sequence[str], relative_error: float | None = None
@@ -105,7 +157,7 @@ def fits_on_driver(frame: DataFrame, columns: Sequence[str], limit: int) -> bool
     row = frame.agg(
         *[
             (F.approx_count_distinct(text) * F.max(F.octet_length(text))).alias(f"b{i}")
-            for i, text in enumerate(F.col(c).cast("string") for c in columns)
+            for i, text in enumerate(named(c).cast("string") for c in columns)
         ]
     ).head()
     # The estimate is within a few percent; a factor of two is a safe margin.
@@ -125,7 +177,7 @@ def category_mapping(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
     return ranked.select("column", "value", F.col("idx").cast("double").alias("idx"), "freq")
 
 
-class CategoryIndexer(Estimator, HasInputCols, HasOutputCols):
+class CategoryIndexer(Estimator, HasInputCols, HasOutputCols, MLWritable, MLReadable):
     """``StringIndexer`` by frequency, without a bound on the number of values.
 
     Where the values fit on the driver this *is* ``StringIndexer``. Beyond, the
@@ -161,6 +213,18 @@ class CategoryIndexer(Estimator, HasInputCols, HasOutputCols):
         sizes = [found.get(column, 0) for column in columns]
         return self._copyValues(CategoryJoinModel(mapping, sizes, self.unseen))
 
+    def write(self) -> MLWriter:
+        return _Writer(self, {"unseen": self.unseen, "driver_bytes": self.driver_bytes}, {})
+
+    @classmethod
+    def read(cls) -> MLReader:
+        def make(path: str, data: dict, spark: SparkSession) -> CategoryIndexer:
+            indexer = cls(inputCols=data["inputCols"], outputCols=data["outputCols"], unseen=data["unseen"])
+            indexer.driver_bytes = data["driver_bytes"]
+            return indexer
+
+        return _Reader(cls, make)
+
 
 def _index_column(value: Column, name: str, size: int) -> Column:
     """An index under its name, with the attribute that says how many values it may have."""
@@ -168,7 +232,7 @@ def _index_column(value: Column, name: str, size: int) -> Column:
     return value.alias(name, metadata={"ml_attr": attribute})
 
 
-class CategoryListModel(Model, HasInputCols, HasOutputCols):
+class CategoryListModel(Model, HasInputCols, HasOutputCols, MLWritable, MLReadable):
     """A fitted ``StringIndexer``; what it keeps as unknown becomes the last index."""
 
     def __init__(self, indexer: Model, sizes: list[int]):
@@ -186,15 +250,23 @@ class CategoryListModel(Model, HasInputCols, HasOutputCols):
             ]
         )
 
+    def write(self) -> MLWriter:
+        return _Writer(self, {"sizes": self.sizes}, {"indexer": self.indexer})
 
-class CategoryJoinModel(Model, HasInputCols, HasOutputCols):
-    """Looks categories up in a mapping table.
+    @classmethod
+    def read(cls) -> MLReader:
+        return _Reader(cls, lambda path, data, spark: cls(StringIndexerModel.load(f"{path}/indexer"), data["sizes"]))
 
-    The most frequent values, a list of bounded size, are looked up in a broadcast.
-    So no value that reaches the shuffled join can fill more than one part in
-    ``HEAD_VALUES`` of the table, unless it is longer than ``HEAD_TEXT_LENGTH``,
-    where adaptive execution splits it. Rows already answered are spread evenly
-    over that join.
+
+class CategoryJoinModel(Model, HasInputCols, HasOutputCols, MLWritable, MLReadable):
+    """Looks the categories of all columns up in one mapping table.
+
+    The cells ``(row, column, text)`` of all columns are unpivoted together. Frequent values, a
+    list of bounded size, are looked up in a broadcast; the cells that are left meet the
+    mapping in one shuffle, where no text can fill more than one part in ``HEAD_VALUES`` of a
+    column unless it is longer than ``HEAD_TEXT_LENGTH``, which adaptive execution splits. The
+    indices are put together by row before their shuffle, and the table itself, written first
+    so that its rows can be numbered, is moved once, however many columns are indexed.
     """
 
     def __init__(self, mapping: DataFrame, sizes: list[int], unseen: str):
@@ -202,43 +274,41 @@ class CategoryJoinModel(Model, HasInputCols, HasOutputCols):
         self.mapping, self.sizes, self.unseen = mapping, sizes, unseen
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        for source, target, size in zip(self.getInputCols(), self.getOutputCols(), self.sizes, strict=True):
-            dataset = self._index(dataset, source, target, size)
-        return dataset
-
-    def _index(self, frame: DataFrame, source: str, target: str, size: int) -> DataFrame:
-        mapping = self.mapping.where(F.col("column") == source)
-        is_head = (F.col("idx") < HEAD_VALUES) & (F.length("value") <= HEAD_TEXT_LENGTH)
-        head = mapping.where(is_head).select(
-            F.col("value").alias("_head_value"), F.col("idx").alias("_head_idx")
-        )
-        tail = mapping.where(~is_head).select(
-            F.lit(False).alias("_tail_done"),
-            F.col("value").alias("_tail_value"),
-            F.col("idx").alias("_tail_idx"),
-        )
-        text = F.col(source).cast("string")
-        looked_up = frame.join(F.broadcast(head), text == F.col("_head_value"), "left")
-        done = F.col("_head_idx").isNotNull()
-        # Rows that are answered are spread by all their columns.
-        spread = F.xxhash64(*frame.columns).cast("string")
-        keyed = looked_up.select(
-            *frame.columns,
-            "_head_idx",
-            done.alias("_done"),
-            F.when(done, spread).otherwise(text).alias("_text"),
-        )
-        matches = (F.col("_done") == F.col("_tail_done")) & (
-            F.col("_text") == F.col("_tail_value")
-        )
-        found = F.coalesce("_head_idx", "_tail_idx")
-        unknown = F.lit(float(max(0, size - 1)))
-        if self.unseen == "error":
-            message = F.concat(F.lit(f"missing or unseen value in {source}: "), F.coalesce(text, F.lit("null")))
-            unknown = F.raise_error(message).cast("double")
-        return keyed.join(tail, matches, "left").select(
-            *frame.columns, _index_column(F.coalesce(found, unknown), target, size)
+        sources, targets = self.getInputCols(), self.getOutputCols()
+        numbered = stage(dataset.withColumn("_row", F.monotonically_increasing_id()), "indexed-rows")
+        cells = numbered.select(
+            "_row",
+            F.inline(F.array(*[
+                F.struct(F.lit(i).alias("_at"), named(c).cast("string").alias("_text")) for i, c in enumerate(sources)
+            ])),
+        ).where(F.col("_text").isNotNull())
+        at = F.create_map(*[F.lit(x) for i, c in enumerate(sources) for x in (c, i)])
+        mapping = self.mapping.select(at[F.col("column")].alias("_at"), F.col("value").alias("_text"), F.col("idx").alias("_idx"))
+        mapping = mapping.where(F.col("_at").isNotNull())
+        is_head = (F.col("_idx") < HEAD_VALUES // len(sources)) & (F.length("_text") <= HEAD_TEXT_LENGTH)
+        headed = cells.join(F.broadcast(mapping.where(is_head)), ["_at", "_text"], "left")
+        answered = headed.where(F.col("_idx").isNotNull()).select("_row", "_at", "_idx")
+        rest = headed.where(F.col("_idx").isNull()).select("_row", "_at", "_text")
+        looked_up = rest.join(mapping.where(~is_head), ["_at", "_text"]).select("_row", "_at", "_idx")
+        by_row = answered.unionByName(looked_up).groupBy("_row").agg(
+            *[F.max(F.when(F.col("_at") == i, F.col("_idx"))).alias(f"_idx{i}") for i in range(len(sources))]
         )
+        indexed = numbered.join(by_row, "_row", "left")
+        columns = []
+        for i, (source, target, size) in enumerate(zip(sources, targets, self.sizes, strict=True)):
+            unknown = F.lit(float(max(0, size - 1)))
+            if self.unseen == "error":
+                text = F.coalesce(named(source).cast("string"), F.lit("null"))
+                unknown = F.raise_error(F.concat(F.lit(f"missing or unseen value in {source}: "), text)).cast("double")
+            columns.append(_index_column(F.coalesce(F.col(f"_idx{i}"), unknown), target, size))
+        return indexed.select(*[named(c) for c in dataset.columns if c not in targets], *columns)
+
+    def write(self) -> MLWriter:
+        return _Writer(self, {"sizes": self.sizes, "unseen": self.unseen}, {"mapping": self.mapping})
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _Reader(cls, lambda path, data, spark: cls(spark.read.parquet(f"{path}/mapping"), data["sizes"], data["unseen"]))
 
 
 def index_categories(frame: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -3,18 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabml.functions import is_missing, require_columns
+from tabml.functions import is_missing, named, require_columns
 from tabml.operators.spec import FeatureSpec
 
-# So many pairs fit comfortably in one generated aggregate.
-PAIRS_PER_SCAN = 150
-
 
 def row_count(frame: DataFrame) -> DataFrame:
     return frame.agg(F.count("*").alias("n_rows"))
@@ -80,17 +76,18 @@ def missing_counts(frame: DataFrame, columns: Sequence[str] | None = None) -> Da
     )
 
 
-def describe(frame: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def describe(frame: DataFrame, columns: Sequence[str] | None = None, exact: bool = False) -> DataFrame:
     """Rows ``(column, stat, value, text_value)`` for count, mean, stddev, min and max.
 
     ``value`` holds numbers. Strings get a count, and their minimum and maximum in
-    ``text_value``.
+    ``text_value``. A double cannot hold every long or decimal: ``exact`` adds ``exact_value``,
+    the count, minimum and maximum as text of the column's own type.
     """
     columns = list(columns or frame.columns)
     require_columns(frame, columns)
     aggregates, structs = [], []
     for i, name in enumerate(columns):
-        column = F.col(name)
+        column = named(name)
         numeric = isinstance(frame.schema[name].dataType, T.NumericType)
         stats = {"count": F.count(column), "min": F.min(column), "max": F.max(column)}
         if numeric:
@@ -101,10 +98,12 @@ def describe(frame: DataFrame, columns: Sequence[str] | None = None) -> DataFram
                 aggregates.append(stats[stat].alias(result))
             is_number = stat in stats and (numeric or stat == "count")
             is_text = stat in stats and not is_number
+            own = F.col(result) if stat in ("count", "min", "max") and stat in stats else F.lit(None)
             structs.append(
                 F.struct(
                     F.lit(name).alias("column"),
                     F.lit(stat).alias("stat"),
+                    *([own.cast("string").alias("exact_value")] if exact else []),
                     (F.col(result) if is_number else F.lit(None)).cast("double").alias("value"),
                     (F.col(result) if is_text else F.lit(None)).cast("string").alias("text_value"),
                 )
@@ -114,16 +113,16 @@ def describe(frame: DataFrame, columns: Sequence[str] | None = None) -> DataFram
 
 def category_sizes(frame: DataFrame, column: str) -> DataFrame:
     """Rows per value; a missing value forms its own group."""
-    return frame.groupBy(column).agg(F.count("*").alias("count"))
+    return frame.groupBy(named(column)).agg(F.count("*").alias("count"))
 
 
 def group_count_desc(frame: DataFrame, column: str) -> DataFrame:
     """Category sizes, largest first, ties by value."""
-    return category_sizes(frame, column).orderBy(F.desc("count"), column)
+    return category_sizes(frame, column).orderBy(F.desc("count"), named(column))
 
 
 def group_average(frame: DataFrame, by: str, value: str, name: str = "avg_value") -> DataFrame:
-    return frame.groupBy(by).agg(F.avg(value).alias(name))
+    return frame.groupBy(named(by)).agg(F.avg(named(value)).alias(name))
 
 
 def sql_group_average(frame: DataFrame, by: str, value: str) -> DataFrame:
@@ -131,8 +130,8 @@ def sql_group_average(frame: DataFrame, by: str, value: str) -> DataFrame:
     return frame.sparkSession.sql(
         "SELECT {by}, avg({value}) AS avg_value FROM {rows} GROUP BY {by}",
         rows=frame,
-        by=F.col(by),
-        value=F.col(value),
+        by=named(by),
+        value=named(value),
     )
 
 
@@ -143,38 +142,15 @@ def frequency_table(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
     of the table still sends one row per task.
     """
     require_columns(frame, columns)
-    as_text = frame.select(*[F.col(c).cast("string").alias(c) for c in columns])
+    as_text = frame.select(*[named(c).cast("string").alias(c) for c in columns])
     return (
-        as_text.unpivot([], list(columns), "column", "value")
+        as_text.unpivot([], [named(c) for c in columns], "column", "value")
         .groupBy("column", "value")
         .agg(F.count("*").alias("freq"))
     )
 
 
-def correlation_matrix(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair, as rows ``(col_a, col_b, corr)``.
-
-    Uses the rows in which all the columns are present. Null where a column is constant or
-    no row is left. The pairs are aggregated in groups, one scan for each, so the work is
-    alike at any width.
-    """
-    require_columns(frame, columns)
-    columns = list(columns)
-    numbers = frame.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna()
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
-    parts = []
-    for first in range(0, len(pairs), PAIRS_PER_SCAN):
-        own = pairs[first : first + PAIRS_PER_SCAN]
-        one_row = numbers.agg(
-            *[F.covar_pop(columns[i], columns[j]).alias(f"c{i}_{j}") for i, j in own],
-            *[F.stddev_pop(columns[k]).alias(f"s{k}") for k in sorted({k for pair in own for k in pair})],
-        )
-        entries = []
-        for i, j in own:
-            scale = F.col(f"s{i}") * F.col(f"s{j}")
-            corr = F.when(scale > 0, F.lit(1.0) if i == j else F.col(f"c{i}_{j}") / scale)
-            for x, y in {(i, j), (j, i)}:
-                names = F.lit(columns[x]).alias("col_a"), F.lit(columns[y]).alias("col_b")
-                entries.append(F.struct(*names, corr.alias("corr")))
-        parts.append(_long(one_row, entries))
-    return reduce(DataFrame.union, parts)
+def sorted_frequency_table(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """:func:`frequency_table` by column, the most frequent value first, ties by value."""
+    order = [F.asc("column"), F.desc("freq"), F.asc_nulls_last("value")]
+    return frequency_table(frame, columns).orderBy(*order)

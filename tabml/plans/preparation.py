@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tabml.operators import features
 from tabml.operators.ranking import exact_medians
 from tabml.operators.spec import FeatureSpec
-from tabml.operators.split import fold_column, split_column
+from tabml.operators.split import fold_column, split_column, with_row_identity
 from tabml.plans.oracle_views import BLOCKS, LABELLED, fold, in_train
 from tabml.sources import blocks, docs, load_table, stage
 from tabml.sources.views import BLOCK_RATIOS
@@ -19,6 +19,7 @@ KEY = "o_orderkey"
 CATEGORY = "o_orderpriority"
 NUMBERS = ["total_qty", "n_lines", "c_acctbal", "o_totalprice"]
 CODES = ["l_returnflag", "l_linestatus", "l_linenumber"]
+MANY = ["l_partkey", "l_suppkey", "l_extendedprice"]
 MEDIAN_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount"]
 # Predictors with missing values and a label without.
 MATRIX = FeatureSpec(
@@ -110,6 +111,15 @@ def string_index_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return indexed.select("l_orderkey", "l_linenumber", "l_partkey", "l_partkey_idx")
 
 
+def string_index_join_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three columns with many values, all of them in one join."""
+    lineitem = load_table(spark, sf_dir, "lineitem")
+    indexer = features.CategoryIndexer(inputCols=MANY, outputCols=[f"{c}_idx" for c in MANY])
+    indexer.driver_bytes = 0
+    indexed = indexer.fit(lineitem).transform(lineitem)
+    return indexed.select("l_orderkey", "l_linenumber", *MANY, *[f"{c}_idx" for c in MANY])
+
+
 def index_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.category_mapping(load_table(spark, sf_dir, "lineitem"), CODES)
 
@@ -136,6 +146,22 @@ def feature_matrix_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _matrix(docs(spark, sf_dir), DOC_MATRIX, [])
 
 
+def feature_matrix_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prepared on the urgent half of the categories only: the others count as the rarest."""
+    frame = stage(blocks(spark, sf_dir).where(F.col("n_lines").isNotNull()), "matrix")
+    spec = FeatureSpec(key=KEY, label="o_totalprice", numeric=("n_lines",), categorical=(CATEGORY,))
+    model = features.feature_pipeline(spec, impute=[]).fit(frame.where(F.col(CATEGORY) < "3"))
+    prepared = features.training_frame(model, frame, spec)
+    return _rounded(features.slots(prepared, [KEY, "label"]), 5, "value")
+
+
+def split_no_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table without a key and with many equal rows: each row is split on its own."""
+    rows = with_row_identity(load_table(spark, sf_dir, "lineitem").select(*CODES))
+    sides = split_column(fold_column(rows, "row_id"), "row_id")
+    return sides.groupBy(*CODES, "split", "fold").agg(F.count("*").alias("n"))
+
+
 def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_column(blocks(spark, sf_dir), KEY).select(KEY, "split")
 
@@ -158,10 +184,13 @@ QUERIES = {
         string_index,
         string_index_multi,
         string_index_join,
+        string_index_join_multi,
         index_labels,
         one_hot,
         feature_matrix,
         feature_matrix_codes,
+        feature_matrix_unseen,
+        split_no_key,
         train_test_split,
         fold_assignment,
     )
@@ -234,6 +263,24 @@ SELECT {KEY}, {CATEGORY}, idx AS {CATEGORY}_idx FROM blocks JOIN mapping ON {CAT
     "string_index_join": f"""WITH mapping AS ({_indexed_sql("lineitem", "l_partkey")})
 SELECT l_orderkey, l_linenumber, l_partkey, idx AS l_partkey_idx
 FROM lineitem JOIN mapping ON l_partkey::VARCHAR = value""",
+    "string_index_join_multi": "WITH "
+    + ", ".join(f"m_{c} AS ({_indexed_sql('lineitem', c)})" for c in MANY)
+    + f" SELECT l_orderkey, l_linenumber, {', '.join(MANY)}, {', '.join(f'm_{c}.idx AS {c}_idx' for c in MANY)}"
+    + " FROM lineitem "
+    + " ".join(f"JOIN m_{c} ON m_{c}.value = {c}::VARCHAR" for c in MANY),
+    "feature_matrix_unseen": f"""WITH {BLOCKS}, used AS (SELECT * FROM blocks WHERE n_lines IS NOT NULL),
+fitted AS (SELECT * FROM used WHERE {CATEGORY} < '3'), mapping AS ({_indexed_sql("fitted", CATEGORY)}),
+coded AS (SELECT {KEY}, o_totalprice AS label, n_lines / (SELECT stddev_samp(n_lines) FROM fitted) AS scaled,
+  coalesce(idx, (SELECT max(idx) FROM mapping)) AS idx FROM used LEFT JOIN mapping ON {CATEGORY} = value),
+sizes AS (SELECT count(*) - 1 AS n FROM mapping)
+SELECT {KEY}, label, slot::INTEGER AS slot, round(CASE WHEN slot = 0 THEN scaled ELSE (slot - 1 = idx)::INTEGER::DOUBLE END, 5) AS value
+FROM coded, sizes, unnest(range(n + 1)) AS slots(slot)""",
+    "split_no_key": f"""WITH numbered AS (
+  SELECT *, md5(concat_ws('|', {", ".join(f"coalesce({c}::VARCHAR, chr(0))" for c in sorted(CODES))})) || '-'
+    || row_number() OVER (PARTITION BY {", ".join(CODES)}) AS row_id FROM lineitem),
+sides AS (SELECT *, CASE WHEN {in_train("row_id")} THEN 'train' ELSE 'test' END AS split, ({fold("row_id")})::INTEGER AS fold
+  FROM numbered)
+SELECT {", ".join(CODES)}, split, fold, count(*) AS n FROM sides GROUP BY ALL""",
     "index_labels": " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", value, idx, freq FROM ({_indexed_sql('lineitem', c)})"
         for c in CODES

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabml.operators import profile
+from tabml.operators import moments, profile
 from tabml.operators.spec import FeatureSpec
 from tabml.plans.oracle_views import BLOCKS
-from tabml.sources import blocks, load_table, read_csv, register_view
+from tabml.sources import blocks, column_types, load_table, read_csv, read_csv_checked, register_view, write_csv
 from tabml.sources.staging import stage_path
 
 MEASURES = ["total_qty", "n_lines", "total_ext", "o_totalprice"]
@@ -58,6 +58,58 @@ def csv_scan_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+CSV_TYPES = "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"
+
+
+def _awkward_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All columns of the orders, some texts and numbers made hard to write as CSV."""
+    n = F.col("o_orderkey") % 7
+    text = F.when(n == 0, F.lit(None)).when(n == 1, "").when(n == 2, F.concat("o_orderpriority", F.lit(' "x", y')))
+    return load_table(spark, sf_dir, "orders").withColumns(
+        {
+            "o_orderpriority": text.when(n == 3, F.concat(F.lit("a\nb,"), "o_orderpriority")).otherwise(F.col("o_orderpriority")),
+            "o_totalprice": F.when(n != 4, F.col("o_totalprice")),
+            "o_custkey": F.when(n != 5, F.col("o_custkey")).cast("long"),
+        }
+    )
+
+
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nulls, empty texts, quotes, separators and line ends come back as they were written."""
+    path = stage_path(spark, "orders-csv")
+    write_csv(_awkward_orders(spark, sf_dir), path)
+    return read_csv_checked(spark, path, CSV_TYPES)[0]
+
+
+def csv_bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every eleventh order has a price that is no number: its line is set apart."""
+    path = stage_path(spark, "orders-csv")
+    broken = F.when(F.col("o_orderkey") % 11 == 0, "n/a").otherwise(F.col("o_totalprice").cast("string"))
+    write_csv(load_table(spark, sf_dir, "orders").select("o_orderkey", broken.alias("o_totalprice"), "o_orderstatus"), path)
+    good, bad = read_csv_checked(spark, path, "o_orderkey BIGINT, o_totalprice DOUBLE, o_orderstatus STRING")
+    counted = good.select(F.lit("good").alias("part"), F.length("o_orderstatus").alias("size"))
+    return counted.unionByName(bad.select(F.lit("bad").alias("part"), F.length("line").alias("size"))).groupBy("part").agg(
+        F.count("*").alias("n"), F.sum("size").alias("size")
+    )
+
+
+def csv_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The types that a reader infers from all lines."""
+    path = stage_path(spark, "orders-csv")
+    load_table(spark, sf_dir, "orders").write.option("header", True).csv(path)
+    return column_types(read_csv(spark, path))
+
+
+def multi_frequency_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.sorted_frequency_table(load_table(spark, sf_dir, "lineitem"), CODES)
+
+
+def describe_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Longs beyond the whole numbers of a double keep all their digits."""
+    big = load_table(spark, sf_dir, "orders").select((F.col("o_orderkey") + F.lit(2**60 + 1)).alias("key.big"), "o_orderstatus")
+    return profile.describe(big, exact=True).where(F.col("stat").isin("count", "min", "max")).select("column", "stat", "exact_value", "text_value")
+
+
 def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.row_count(blocks(spark, sf_dir))
 
@@ -128,7 +180,7 @@ def missing_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def correlation_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(profile.correlation_matrix(blocks(spark, sf_dir), MEASURES), 8, "corr")
+    return _rounded(moments.correlation_matrix(blocks(spark, sf_dir), MEASURES), 8, "corr")
 
 
 QUERIES = {
@@ -136,6 +188,11 @@ QUERIES = {
     for f in (
         csv_scan,
         csv_scan_inferred,
+        csv_round_trip,
+        csv_bad_rows,
+        csv_types,
+        multi_frequency_sorted,
+        describe_exact,
         row_count,
         preview_topn,
         filter_count,
@@ -185,6 +242,32 @@ ORACLES = {
     "csv_scan": "SELECT o_orderkey, o_orderpriority, o_totalprice, o_orderdate FROM orders",
     "csv_scan_inferred": """SELECT count(*) AS n_rows, count(DISTINCT o_orderpriority) AS n_priorities,
   max(o_totalprice) AS max_price, round(avg(o_totalprice), 4) AS avg_price FROM orders""",
+    "csv_round_trip": """SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 5 THEN o_custkey END AS o_custkey, o_orderstatus,
+  CASE WHEN o_orderkey % 7 <> 4 THEN o_totalprice END AS o_totalprice, o_orderdate,
+  CASE o_orderkey % 7 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN o_orderpriority || ' "x", y'
+    WHEN 3 THEN 'a' || chr(10) || 'b,' || o_orderpriority ELSE o_orderpriority END AS o_orderpriority
+FROM orders""",
+    "csv_bad_rows": """SELECT CASE WHEN o_orderkey % 11 = 0 THEN 'bad' ELSE 'good' END AS part, count(*) AS n,
+  CAST(sum(length(CASE WHEN o_orderkey % 11 = 0 THEN o_orderkey || ',n/a,' || o_orderstatus ELSE o_orderstatus END)) AS BIGINT) AS size
+FROM orders GROUP BY part""",
+    "csv_types": "SELECT * FROM (VALUES "
+    + ", ".join(
+        f"({i}::INTEGER, '{name}', '{kind}')"
+        for i, (name, kind) in enumerate(
+            {"o_orderkey": "int", "o_custkey": "int", "o_orderstatus": "string", "o_totalprice": "double",
+             "o_orderdate": "timestamp", "o_orderpriority": "string"}.items()
+        )
+    )
+    + ") AS types(pos, name, type)",
+    "multi_frequency_sorted": f"""SELECT "column", value, count(*) AS freq FROM (
+  UNPIVOT (SELECT {", ".join(f"{c}::VARCHAR AS {c}" for c in CODES)} FROM lineitem)
+  ON {", ".join(CODES)} INTO NAME "column" VALUE value) GROUP BY "column", value ORDER BY "column", freq DESC, value""",
+    "describe_exact": " UNION ALL ".join(
+        f"""SELECT '{name}' AS "column", '{stat}' AS stat, CAST({stat}({value}) AS VARCHAR) AS exact_value,
+  {f"CAST({stat}({value}) AS VARCHAR)" if text and stat != "count" else "CAST(NULL AS VARCHAR)"} AS text_value FROM orders"""
+        for name, value, text in (("key.big", f"o_orderkey + {2**60 + 1}", False), ("o_orderstatus", "o_orderstatus", True))
+        for stat in ("count", "min", "max")
+    ),
     "row_count": f"WITH {BLOCKS} SELECT count(*) AS n_rows FROM blocks",
     "preview_topn": f"WITH {BLOCKS} SELECT * FROM blocks ORDER BY o_orderkey LIMIT 5",
     "filter_count": f"WITH {BLOCKS} SELECT count(*) AS n_rows FROM blocks WHERE total_qty > 100",

@@ -14,7 +14,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows of a part of a training table, and parts that every one has.
+ROWS_PER_PART, LEAST_PARTS = 500_000, 8
+
 _local_dirs: dict[str, str] = {}
+_held: list[DataFrame] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -35,20 +39,32 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def spread(frame: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
-    """``partitions`` parts by a hash of all columns, each sorted by key and that hash.
+    """The fixed training layout: parts by a hash of all columns, each sorted by key and that hash.
 
     Learners that sample rows or cut candidates do so part by part, so parts of a fixed
     number and order give the same model on any number of cores and for any layout of the
-    files. Apply it after the read of a staged table, as a read cuts parts by cores. The
-    number is ``spark.sql.shuffle.partitions`` unless given; another number may give
-    another model. All columns are hashed, as a key may be missing or frequent.
+    files. The number follows from the rows alone, one part for ``ROWS_PER_PART`` and
+    ``LEAST_PARTS`` at least, unless given; another number may give another model. All columns
+    are hashed, as a key may be missing or frequent.
+
+    The rows are shuffled once and held in memory, beyond it on the executors' disks, so that
+    no fit and no pass of one shuffles them again; ``frame`` should be a written table, from
+    which a lost part is made again. :func:`release` or :func:`drop_stages` lets go of them.
     """
-    spark = frame.sparkSession
-    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = partitions or max(LEAST_PARTS, -(-frame.count() // ROWS_PER_PART))
     # A map cannot be hashed.
     fields = [f for f in frame.schema.fields if "map<" not in f.dataType.simpleString()]
     row = F.xxhash64(*[F.col("`" + f.name.replace("`", "``") + "`") for f in fields])
-    return frame.repartition(partitions, row).sortWithinPartitions(key, row)
+    held = frame.repartition(partitions, row).sortWithinPartitions(key, row).persist()
+    _held.append(held)
+    return held
+
+
+def release(frames: Sequence[DataFrame]) -> None:
+    """Let go of what :func:`spread` holds."""
+    for frame in frames:
+        frame.unpersist()
+        _held[:] = [other for other in _held if other is not frame]
 
 
 def stage_path(spark: SparkSession, name: str) -> str:
@@ -78,7 +94,8 @@ def stage(
 
 
 def drop_stages(spark: SparkSession) -> bool:
-    """Delete every table this application staged."""
+    """Delete every table this application staged, and let go of the training tables."""
+    release(list(_held))
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
     hadoop_conf = spark.sparkContext._jsc.hadoopConfiguration()

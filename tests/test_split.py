@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tabml.operators.split import fold_column, random_split, split_column, train_test_split
+from tabml.operators.split import fold_column, random_split, split_column, train_test_split, with_row_identity
 from tabml.sources import load_table
 
 
@@ -48,3 +48,29 @@ def test_rows_without_a_key_are_kept(spark):
     train, test = train_test_split(frame, "k")
     assert train.count() + test.count() == 3
     assert fold_column(frame, "k").where("fold IS NULL").count() == 0
+
+
+def test_rows_with_null_keys_are_split_by_their_other_columns(spark):
+    frame = spark.range(1000).selectExpr("CAST(NULL AS INT) AS k", "id AS x")
+    train, test = train_test_split(frame, "k")
+    assert train.count() + test.count() == 1000 and 740 < train.count() < 860
+    folds = {r["fold"]: r["count"] for r in fold_column(frame, "k").groupBy("fold").count().collect()}
+    assert set(folds) == {0, 1, 2} and all(270 < n < 400 for n in folds.values())
+
+
+def test_equal_rows_without_a_key_are_split_one_by_one(spark, monkeypatch):
+    monkeypatch.setattr("tabml.operators.split.COPIES", 70)
+    frame = spark.range(1000).selectExpr("CAST(NULL AS INT) AS k", "'same' AS `a.b`")
+    train, test = train_test_split(frame, None)
+    assert train.columns == ["k", "a.b"] and train.count() + test.count() == 1000
+    assert 740 < train.count() < 860
+    ids = with_row_identity(frame)
+    assert ids.select("row_id").distinct().count() == 1000
+    assert ids.exceptAll(with_row_identity(frame.repartition(7))).count() == 0
+    with pytest.raises(ValueError, match="already"):
+        with_row_identity(ids)
+
+
+def test_null_and_empty_text_are_different_rows(spark):
+    frame = spark.createDataFrame([(None, "x"), ("", "x"), ("", "x")], "a string, b string")
+    assert sorted(r["n"] for r in with_row_identity(frame).groupBy(F.substring("row_id", 1, 32)).agg(F.count("*").alias("n")).collect()) == [1, 2]
