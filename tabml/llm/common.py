@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Collection, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,14 +35,42 @@ def bound_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
 
 
+def give_back() -> None:
+    """Return what a task has freed to the machine.
+
+    Workers live on for later tasks, and the memory of a task's peak would stay theirs.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        return  # Another C library, which has no such call.
+
+
 def arrow_map(
     frame: DataFrame,
     function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
     schema: str,
 ) -> DataFrame:
-    """``mapInArrow`` with bounded batches."""
+    """``mapInArrow`` with bounded batches, whose workers give memory back after each task."""
     bound_batches(frame.sparkSession)
-    return frame.mapInArrow(function, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            give_back()
+
+    return frame.mapInArrow(run, schema)
+
+
+def free_name(wanted: str, taken: Collection[str]) -> str:
+    """``wanted``, or with as many underscores after it as make it a new name."""
+    lower = {name.lower() for name in taken}
+    while wanted.lower() in lower:
+        wanted += "_"
+    return wanted
 
 
 def semi_join(frame: DataFrame, keys: DataFrame, on: str, how: str = "left_semi") -> DataFrame:

@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabml.llm.common import col
+from tabml.llm.common import col, free_name
 from tabml.llm.components import components
 from tabml.sources.staging import stage
 
@@ -193,8 +193,8 @@ def dedup_lines(
 
     Null text stays null. Rows equal in key and text are treated alike, so a line that stays
     in one stays in all of them; a null key sorts first. Without ``empty``, rows that lose all
-    their lines go. Other columns come back unchanged, also where they have the names used
-    here; an empty table stays empty.
+    their lines go. Other columns come back unchanged; where they have the names of the counts,
+    these get underscores after theirs; an empty table stays empty.
     """
     gone = dropped_lines(docs, text, key)
     value = col(text).cast("string")
@@ -212,9 +212,10 @@ def dedup_lines(
         rows = rows.filter(F.col("drops").isNull() | (F.size(stay) > 0))
     columns = [(cleaned if name == text else F.col("__row")[name]).alias(name) for name in docs.columns]
     if counts:
+        own = [free_name(name, docs.columns) for name in ("n_lines", "n_dropped")]
         n_dropped = F.when(F.col("drops").isNull(), 0).otherwise(F.size("drops"))
         columns += [
-            F.when(F.col("__row")[text].isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
-            n_dropped.cast("long").alias("n_dropped"),
+            F.when(F.col("__row")[text].isNull(), 0).otherwise(F.size(lines)).cast("long").alias(own[0]),
+            n_dropped.cast("long").alias(own[1]),
         ]
     return rows.select(*columns)

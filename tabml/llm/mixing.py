@@ -43,7 +43,7 @@ def source_rates(
         found = F.create_map(*pairs)[F.coalesce("source", F.lit("\0"))] if pairs else F.lit(None)
         weight = F.coalesce(found.cast("double"), F.lit(0.0))
     counts = counts.withColumn("weight", F.when(F.col("n_chars") > 0, weight).otherwise(0.0))
-    counts = stage(counts.coalesce(1), "source-counts")
+    counts = stage(counts, "source-counts")
     all_weight, all_chars = counts.agg(F.sum("weight"), F.sum("n_chars").cast("double")).first()
     share = F.col("weight") / F.lit(all_weight or 1.0)
     rate = share * F.lit(all_chars or 0.0) / F.col("n_chars")
@@ -122,7 +122,7 @@ def replicate(
     shuffled = copies.withColumn("__place", place).repartition("__place")
     shuffled = shuffled.sortWithinPartitions("__place")
     columns = [F.col("__row")[name].alias(name) for name in docs.columns]
-    return shuffled.select(*columns, *([F.col("__copy").alias(copy)] if copy else []))
+    return shuffled.select(*columns, *([F.col("__copy").alias(free_name(copy, docs.columns))] if copy else []))
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, seed: int = 17, copy: str | None = None) -> DataFrame:
@@ -130,5 +130,5 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, seed: int = 17
 
     The rates are written first, so that Spark knows their size when it picks the join.
     """
-    rates = stage(source_rates(docs, weights).coalesce(1), "rates")
+    rates = stage(source_rates(docs, weights), "rates")
     return replicate(docs, rates, seed, copy=copy)

@@ -24,7 +24,7 @@ VERIFY_COST = 40.0
 #: takes all pairs that are left, has no such bound.
 PARTNERS, SAMPLED = 8, 1
 #: Words whose hashes a worker remembers.
-REMEMBERED = 500_000
+REMEMBERED = 100_000
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _SHIFT = np.uint64(31)

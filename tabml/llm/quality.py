@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -13,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabml.llm.common import arrow_map, bound_batches, col
+from tabml.llm.common import arrow_map, bound_batches, col, give_back
 from tabml.sources.staging import stage
 
 #: Cells of the hashed weights.
@@ -21,7 +22,7 @@ CELLS = 2**12
 #: Most texts that train the scorer, half of them from each side of the posterior.
 TRAINING_ROWS = 4000
 #: Word shapes a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 
 GOOD, BAD, ABSTAIN = 1, 2, 0
 
@@ -67,7 +68,7 @@ def votes(words: list[str], text: str, seen: dict[str, float]) -> list[int]:
     """Each labeller's vote."""
     n = len(words)
     odd = sum(1 for w in words if len(w) > 1 and not w[-1].isalnum() and not w[-2].isalnum())
-    top = max(map(words.count, set(words[:8]))) if n >= 8 else 0
+    top = max(Counter(words).values()) if n >= 8 else 0
     values = {
         **seen,
         "marks": odd / n,
@@ -87,7 +88,7 @@ def shape(word: str) -> str:
         kind = "X" if character.isupper() else "x" if character.isalpha() else "9" if character.isdigit() else character
         if not out or out[-1] != kind:
             out.append(kind)
-    return "".join(out)[:12]
+    return "".join(out)
 
 
 def _cell(name: str) -> int:
@@ -223,6 +224,11 @@ def fit(docs: DataFrame, text: str = "text", key: str = "doc_id") -> tuple[Label
     The label model sees every row: rows with the same votes are counted together, 3**8 kinds
     at most. The scorer learns from ``TRAINING_ROWS`` texts, half of them (or all there are)
     with a posterior below one half, picked by the hash of their ids.
+
+    Null and empty texts and texts without words have no votes and train nothing, as do rows
+    with a null key; texts are read whole. Equal votes are counted together, so ties and
+    repeated rows weigh as often as they are there; of rows of one key one trains. Columns of
+    other names are ignored. An empty table gives no label model and a scorer of one half.
     """
     rows = _rows(docs, text, key)
     codes = stage(vote_codes(rows), "votes").filter("code is not null")
@@ -270,7 +276,11 @@ def fit(docs: DataFrame, text: str = "text", key: str = "doc_id") -> tuple[Label
 
 
 def score_column(docs: DataFrame, scorer: Scorer, text: str = "text"):  # noqa: ANN201
-    """A column with each text's score: the probability of good, 0 without words."""
+    """A column with each text's score: the probability of good, 0 without words (null, empty, blank).
+
+    It depends on the whole text alone: equal texts have equal scores, and no other column of
+    ``docs``, whatever its name, is read.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(scorer)
     bound_batches(docs.sparkSession)
 
@@ -283,5 +293,6 @@ def score_column(docs: DataFrame, scorer: Scorer, text: str = "text"):  # noqa:
                 words = text.split()
                 out.append(own(*features(words, statistics(words, text))) if words else 0.0)
             yield pd.Series(out, dtype="float64")
+        give_back()
 
     return score(F.coalesce(col(text).cast("string"), F.lit("")))

@@ -19,10 +19,10 @@ from pyspark.sql import functions as F
 
 from tabml.llm.common import arrow_map, col
 
-#: Texts between white space whose prefix counts a worker remembers.
-REMEMBERED = 500_000
-#: Pieces solved in one numpy block.
-SOLVED_TOGETHER = 20_000
+#: Pairs of tokens, and code points of texts and of pieces, whose answers a worker remembers.
+REMEMBERED, REMEMBERED_LETTERS = 500_000, 4_000_000
+#: Pieces solved in one numpy block, and bytes of it; pieces of more bytes are solved one by one.
+SOLVED_TOGETHER, SOLVED_BYTES, LONG = 20_000, 400_000, 400
 #: Of the rolling hash that finds tokens in a piece.
 BASE, MASK = 0x9E3779B97F4A7C15, 2**64 - 1
 
@@ -67,6 +67,8 @@ class PrefixCounter:
         self.follows: dict[int, bool] = {}
         self.chunks: dict[str, bytes] = {}
         self.solved: dict[str, list[int]] = {}
+        #: Code points of both.
+        self.chunk_letters = self.solved_letters = 0
         special = [t["content"] for t in data["added_tokens"] if t["special"]]
         self.special = regex.compile("|".join(map(regex.escape, special)) or r"(?!)")
 
@@ -74,6 +76,7 @@ class PrefixCounter:
         value = {letter: byte for byte, letter in enumerate(_byte_letters())}
         self.tokens = [""] * (max(model["vocab"].values()) + 1)
         keys: tuple[dict, dict] = ({}, {})
+        self.bodies: tuple[dict[bytes, int], dict[bytes, int]] = ({}, {})
         self.longest = 1
         for token, number in model["vocab"].items():
             self.tokens[number] = token
@@ -84,6 +87,7 @@ class PrefixCounter:
             for letter in body:
                 coded = (coded * BASE + value[letter] + 1) & MASK
             keys[body != token][coded] = number
+            self.bodies[body != token][bytes(value[letter] for letter in body)] = number
             self.longest = max(self.longest, len(body))
         self.tables = []
         for known in keys:
@@ -147,14 +151,47 @@ class PrefixCounter:
         if len(self.follows) > 2 * REMEMBERED:
             self.follows.clear()
         coded = sorted(((p.encode("utf-8", "surrogatepass"), p) for p in pieces), key=lambda x: -len(x[0]))
-        for first in range(0, len(coded), SOLVED_TOGETHER):
-            block = coded[first : first + SOLVED_TOGETHER]
+        first = 0
+        while first < len(coded):
+            # A block is as wide as its first piece, so long pieces are few.
+            rows = max(1, min(SOLVED_TOGETHER, SOLVED_BYTES // (len(coded[first][0]) + 1)))
+            block = coded[first : first + rows]
             counts = self._solve([data for data, _ in block])
             for (data, piece), row in zip(block, counts, strict=True):
-                own = row[: len(data)].tolist()
-                if len(data) != len(piece):  # a character ends before the next one's first byte
-                    own = [n for n, byte in zip(own, [*data[1:], 0], strict=True) if byte & 0xC0 != 0x80]
-                self.solved[piece] = own
+                self.solved[piece] = _by_character(data, len(piece), row[: len(data)].tolist())
+                self.solved_letters += len(piece)
+            first += rows
+
+    def _solve_long(self, piece: str) -> list[int]:
+        """The counts for one long piece, place by place: a few bytes of memory for each."""
+        data = piece.encode("utf-8", "surrogatepass")
+        size = len(data)
+        last, inner, final = array("q", [-1]) * (size + 1), array("i", [0]) * (size + 1), array("i", [0]) * size
+        inside, ending = self.bodies
+        follows, names = self.follows, self.tokens
+        for end in range(1, size + 1):
+            if len(follows) > 2 * REMEMBERED:
+                follows.clear()
+            least = max(0, end - self.longest)
+            for table in (inside, ending):
+                for start in range(end - 1, least - 1, -1):
+                    token = table.get(data[start:end])
+                    if token is None:
+                        continue
+                    before = last[start]
+                    if before >= 0:
+                        pair = before * 2**32 + token
+                        fits = follows.get(pair)
+                        if fits is None:
+                            fits = follows[pair] = self.may_follow(names[before], names[token])
+                        if not fits:
+                            continue
+                    if table is inside:
+                        last[end], inner[end] = token, inner[start] + 1
+                    else:
+                        final[end - 1] = inner[start] + 1
+                    break
+        return _by_character(data, len(piece), final.tolist())
 
     def _solve(self, block: list[bytes]) -> np.ndarray:
         """Counts after each byte; ``block`` has the longest first."""
@@ -192,6 +229,8 @@ class PrefixCounter:
 
     def _counts(self, piece: str) -> list[int]:
         """Counts for a piece, also for contractions: cut short, they are other pieces."""
+        if len(piece) > LONG:
+            return self._solve_long(piece)
         if piece not in self.solved:
             self.solve([piece])
         if piece not in CONTRACTIONS:
@@ -244,23 +283,34 @@ class PrefixCounter:
         for chunk in chunks:
             lower = lowered(chunk)
             if lower is not None:
-                pieces.update(PIECES.findall(lower))
-        if len(self.solved) > REMEMBERED:
+                pieces.update(p for p in PIECES.findall(lower) if len(p) <= LONG)
+        if self.solved_letters > REMEMBERED_LETTERS:
             self.solved.clear()
+            self.solved_letters = 0
         self.solve(list(pieces.difference(self.solved)))
         for chunk in chunks:
             self.chunks[chunk] = self._chunk(chunk)
+            self.chunk_letters += len(chunk)
 
     def deltas(self, texts: list[str]) -> list[bytes]:
         """For each code point, by how much the token count changes (16 bits, little endian)."""
         split = [SPACE.split(text) for text in texts]
-        if len(self.chunks) > REMEMBERED:
+        if self.chunk_letters > REMEMBERED_LETTERS:
             self.chunks.clear()
+            self.chunk_letters = 0
         self._learn(set().union(*split).difference(self.chunks))
         # A white space changes nothing, and what follows it starts afresh.
         return [b"\0\0".join(map(self.chunks.__getitem__, chunks)) for chunks in split]
 
 
+def _by_character(data: bytes, size: int, counts: list[int]) -> list[int]:
+    """Counts after each byte of ``size`` characters: those after each character's last one."""
+    if len(data) == size:
+        return counts
+    # A character ends before the next one's first byte.
+    return [n for n, byte in zip(counts, [*data[1:], 0], strict=True) if byte & 0xC0 != 0x80]
+
+
 def lowered(text: str) -> str | None:
     """The normalised text if that has the same code points one by one, else None."""
     if text.isascii():
