@@ -15,8 +15,9 @@ from tabml.llm.components import components
 from tabml.sources.staging import stage
 
 #: Blocks of a SimHash, one of which two lines must agree in, and bits in which the whole may
-#: differ: more than agreeing blocks promise, as lines that share a block are mostly found by it.
-BLOCKS, DISTANCE = 4, 10
+#: differ: for lines of fewer than ``LONG`` characters, which resemble others by common words,
+#: and for longer ones.
+BLOCKS, DISTANCE, LONG, LONG_DISTANCE = 4, 3, 200, 4
 #: Bits of a SimHash, and the width of the lanes that count them, which divides the bits.
 BITS, LANE = 63, 9
 #: Words of a line from which on a lane could overflow.
@@ -112,7 +113,9 @@ _ENDS = ("node", "sim", "n_chars")
 
 def _near() -> Column:
     """SimHashes and lengths of ``a`` and ``b`` that a link may have."""
-    return (F.bit_count(F.col("a_sim").bitwiseXOR(F.col("b_sim"))) <= DISTANCE) & (
+    shorter = F.least("a_n_chars", "b_n_chars")
+    allowed = F.when(shorter >= LONG, LONG_DISTANCE).otherwise(DISTANCE)
+    return (F.bit_count(F.col("a_sim").bitwiseXOR(F.col("b_sim"))) <= allowed) & (
         100 * F.least("a_n_chars", "b_n_chars") >= SIMILARITY * F.greatest("a_n_chars", "b_n_chars")
     )
 
@@ -125,20 +128,24 @@ def _blocks(lines: DataFrame, *more: str) -> DataFrame:
 def first_candidates(lines: DataFrame) -> DataFrame:
     """Pairs ``a, b``: every line with the nearest of the first lines of its blocks, if one is near.
 
-    So the lines of a template, each of which resembles all others, are not paired with each other.
+    So the lines of a template, each of which resembles all others, are not paired with each
+    other. A block's first lines are its first long one and its last, which is short if any is.
     """
     spread = _blocks(lines)
-    heads = spread.groupBy("block").agg(F.min(F.struct("node", "sim", "n_chars")).alias("head"))
+    first = F.struct((F.col("n_chars") < LONG).alias("short"), *_ENDS)
+    heads = spread.groupBy("block").agg(F.min(first).alias("head"), F.max(first).alias("other"))
+    heads = heads.select("block", F.explode(F.array("head", "other")).alias("head"))
     met = spread.join(heads, "block").filter("node != head.node").select(
         *[F.col(f"head.{c}").alias(f"a_{c}") for c in _ENDS], *[F.col(c).alias(f"b_{c}") for c in _ENDS]
     )
     apart = F.bit_count(F.col("a_sim").bitwiseXOR(F.col("b_sim")))
-    best = met.filter(_near()).groupBy(F.col("b_node").alias("b")).agg(F.min(F.struct(apart.alias("apart"), F.col("a_node").alias("a"))).alias("best"))
+    nearest = F.min(F.struct(apart.alias("apart"), F.col("a_node").alias("a")))
+    best = met.filter(_near()).groupBy(F.col("b_node").alias("b")).agg(nearest.alias("best"))
     return best.select(F.col("best.a").alias("a"), "b")
 
 
 def candidates(lines: DataFrame) -> DataFrame:
-    """Pairs ``a < b`` of lines of different ``label`` within ``DISTANCE`` bits and of lengths that allow a link.
+    """Pairs ``a < b`` of lines of different ``label`` whose SimHashes and lengths allow a link.
 
     A pair that agrees in several blocks comes from the first of them only.
     """
@@ -227,8 +234,9 @@ def dedup_lines(
 
     Lines are compared in normalised form (lower case, marks as spaces). Equal ones are one
     node. Two nodes link when the 63-bit SimHashes of their words agree in one of ``BLOCKS``
-    blocks and differ in at most ``DISTANCE`` bits, and their edit distance is at most
-    ``100 - SIMILARITY`` percent of the longer one. Of all lines in a connected group the first
+    blocks and differ in at most ``DISTANCE`` bits (``LONG_DISTANCE`` in lines of ``LONG``
+    characters), and their edit distance is at most ``100 - SIMILARITY`` percent of the longer
+    one. Of all lines in a connected group the first
     by key, then by hash of the text, then by position stays. Lines of fewer than
     ``least_words`` words, blank ones among them, always stay.
 
