@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 import zlib
@@ -13,18 +14,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabml.llm import pii_table
 from tabml.llm.common import arrow_map, col
 
 KINDS = ("email", "ip", "card", "phone")
-#: Texts that the labelled table may be drawn from, and its most lines with and without spans.
-LABELLED_DOCS, LABELLED_LINES = 3000, 1200
 #: Characters decoded in one numpy batch; words whose features a worker remembers.
 BLOCK, REMEMBERED = 300_000, 300_000
 
 # Labels: outside, the first word of each kind, any further word of a span.
 OUTSIDE, INSIDE = 0, len(KINDS) + 1
 LABELS = len(KINDS) + 2
-CELLS = 2**12
+CELLS, FEATURES = 2**12, 6
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
@@ -98,28 +98,47 @@ def joined(spans: list[Span]) -> str:
 
 
 def shape(word: str) -> str:
-    """Letters as x or X, runs as one; each digit as 9, up to twenty; marks as they are."""
+    """Letters as x or X, runs as one; each digit as 9, more than twenty in a run as twenty;
+    marks as they are, more than three alike as three."""
     out: list[str] = []
-    digits = 0
-    for character in word[:80]:
+    run, kept = 0, ""
+    for character in word:
         if "0" <= character <= "9":
-            digits += 1
-            if digits <= 20:
-                out.append("9")
-            continue
-        kind = character if not character.isalpha() else "X" if character.isupper() else "x"
-        if not out or out[-1] != kind or not kind.isalpha():
+            kind, most = "9", 20
+        elif character.isalpha():
+            kind, most = ("X" if character.isupper() else "x"), 1
+        else:
+            kind, most = character, 3
+        run = run + 1 if kind == kept else 1
+        kept = kind
+        if run <= most:
             out.append(kind)
     return "".join(out)
 
 
+# Words that tell what a number next to them is.
+CUES = frozenset(
+    "tel telefon telephone phone fax call mobile mobil cell handy dial card visa karte isbn issn order invoice iban "
+    "tracking ref serial id version date pp key at dot".split()
+)
+_BRACKETED = re.compile(r"[\[({](?:at|dot|\.)[\])}]", re.IGNORECASE)
+
+
+def _cue(word: str) -> str:
+    if _BRACKETED.search(word):
+        return "(at)" if _BRACKETED.fullmatch(word) is None else word[1:-1].lower()
+    bare = word.strip(".:,;()").lower() if len(word) < 16 else ""
+    return bare if bare in CUES else ""
+
+
 def _cells(word: str) -> list[int]:
-    """The hashed features of a word: its shape, the shape without runs, digits, marks, edges."""
+    """The hashed features of a word: its shape, the shape without runs, digits, marks, edges,
+    and the word itself if it is one of ``CUES``."""
     own = shape(word)
     short = re.sub(r"(.)\1+", r"\1", own)
     digits = own.count("9")
-    marks = "".join(sorted(set(own) - {"x", "X", "9"}))[:8]
-    names = (f"s{own}", f"r{short}", f"d{min(digits, 20)}", f"m{marks}", f"e{own[:1]}{own[-1:]}")
+    marks = "".join(sorted(set(own) - {"x", "X", "9"}))
+    names = (f"s{own}", f"r{short}", f"d{min(digits, 20)}", f"m{marks}", f"e{own[:1]}{own[-1:]}", f"w{_cue(word)}")
     return [zlib.crc32(name.encode("utf-8", "surrogatepass")) % CELLS for name in names]
 
 
@@ -167,7 +186,7 @@ def train(lines: list[tuple[list[str], list[int]]], rounds: int = 30, rate: floa
     for first in range(0, len(lines), 64):
         block = lines[first : first + 64]
         width = max(len(words) for words, _ in block)
-        cells = np.full((len(block), width + 2, 5), -1)
+        cells = np.full((len(block), width + 2, FEATURES), -1)
         truth = np.zeros((len(block), width), int)
         sizes = np.array([len(words) for words, _ in block])
         for row, (words, labels) in enumerate(block):
@@ -291,10 +310,29 @@ class Tagger:
         return out
 
 
-_EDGE = re.compile(r"^[^A-Za-z0-9+(]+|[^A-Za-z0-9]+$")
+# The forms that an added span of each kind must have.
+_DOT = r"(?:\.|\x20?[\[({](?:dot|\.)[\])}]\x20?)"
+_FORMS = {
+    "email": re.compile(
+        r"[^\s@]+@[^\s@]*\.[^\s@]*[A-Za-z0-9]"
+        r"|[A-Za-z0-9._%+-]+\x20?[\[({]at[\])}]\x20?[A-Za-z0-9-]+(?:" + _DOT + r"[A-Za-z0-9-]+)+",
+        re.IGNORECASE,
+    ),
+    "ip": re.compile(r"[0-9]{1,3}(?:" + _DOT + r"[0-9]{1,3}){3}", re.IGNORECASE),
+    "card": re.compile(r"[0-9][0-9 .-]*[0-9]"),
+    "phone": re.compile(r"[+(]?[0-9][ ().0-9/-]*[0-9]"),
+}
+# What every added span holds outside the spans of the fixed patterns: an @ in a word, an at or
+# dot in brackets, or a run of digits and separators, of nine digits or four parts.
+_SEED = re.compile(r"[^\s@]@[^\s@]|[\[({](?:at|dot|\.)[\])}]|[0-9][ ().0-9/-]*[0-9]", re.IGNORECASE)
+_LEAD, _TAIL = re.compile(r"[^A-Za-z0-9+(]+"), re.compile(r"[^A-Za-z0-9]+\Z")
 
 
-def _added(line: str, offset: int, labels: np.ndarray, base: list[Span]) -> Iterator[Span]:
+def _numbers(text: str) -> str:
+    return ".".join(re.findall("[0-9]+", text))
+
+
+def _added(line: str, offset: int, labels: np.ndarray, taken: _Taken) -> Iterator[Span]:
     """The spans that a line's labels say, as far as they can be what they are called and do
     not touch a span of the fixed patterns."""
     places = [m.span() for m in _WORD.finditer(line)]
@@ -308,25 +346,70 @@ def _added(line: str, offset: int, labels: np.ndarray, base: list[Span]) -> Iter
         while k < len(places) and labels[k] == INSIDE:
             k += 1
         start, end = places[first][0], places[k - 1][1]
-        text = line[start:end]
-        lead = len(text) - len(_EDGE.sub("", text, count=1)) if _EDGE.match(text) and not text[0].isalnum() else 0
-        text = re.sub(r"[^A-Za-z0-9]+$", "", text[lead:])
-        start, end = offset + start + lead, offset + start + lead + len(text)
-        if kind == "email":
-            fits = bool(re.fullmatch(r"[^\s@]+@[^\s@]*[A-Za-z0-9]", text))
-        elif kind == "ip":
-            fits = bool(re.fullmatch(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}", text)) and _ip_fits(text)
-        elif kind == "card":
-            fits = bool(re.fullmatch(r"[0-9][0-9 .-]*[0-9]", text)) and _card_fits(text)
-        else:
-            fits = bool(re.fullmatch(r"[+(]?[0-9][ ().0-9/-]*[0-9]", text)) and _phone_fits(text)
-        if fits and not any(a < end and start < b for _, a, b in base):
+        lead = _LEAD.match(line, start, end)
+        start = lead.end() if lead else start
+        if line.startswith("(", start) and (kind != "phone" or ")" not in line[start:end].rstrip(").,;")):
+            start += 1
+        text = _TAIL.sub("", line[start:end])
+        fits = _FORMS[kind].fullmatch(text) is not None
+        if fits and kind != "email":
+            fits = _FITS[kind](_numbers(text) if kind == "ip" else text)
+        start, end = offset + start, offset + start + len(text)
+        if fits and not taken.meets(start, end):
             yield (kind, start, end)
 
 
-def all_spans(texts: list[str], tagger: Tagger) -> list[tuple[list[Span], list[Span]]]:
-    """For each text the fixed patterns' spans and those that the tagger adds."""
+class _Taken:
+    """The places of a text that the fixed patterns' spans cover."""
+
+    def __init__(self, base: list[Span]):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for _, start, end in sorted(base, key=lambda s: s[1:]):
+            if self.ends and start <= self.ends[-1]:
+                self.ends[-1] = max(end, self.ends[-1])
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def meets(self, start: int, end: int) -> bool:
+        last = bisect.bisect_left(self.starts, end) - 1
+        return last >= 0 and self.ends[last] > start
+
+    def mask(self, text: str) -> str:
+        """``text`` with line ends in these places."""
+        pieces, done = [], 0
+        for start, end in zip(self.starts, self.ends, strict=True):
+            pieces += [text[done:start], "\n" * (end - start)]
+            done = end
+        return "".join([*pieces, text[done:]]) if pieces else text
+
+
+def open_lines(text: str, taken: _Taken) -> Iterator[tuple[int, str]]:
+    """Offset and text of every line that can hold an added span; no other line can."""
+    masked = taken.mask(text)
+    done = 0
+    for seed in _SEED.finditer(masked):
+        if seed.start() < done:
+            continue
+        found = seed[0]
+        if found[0].isdigit() and found[-1].isdigit() and "@" not in found:
+            if len(_DIGITS.findall(found)) < 9 and found.count(".") < 3:
+                continue
+        start = text.rfind("\n", 0, seed.start()) + 1
+        done = text.find("\n", seed.end())
+        done = done if done >= 0 else len(text)
+        yield start, text[start:done]
+
+
+def all_spans(texts: list[str], tagger: Tagger, every_line: bool = False) -> list[tuple[list[Span], list[Span]]]:
+    """For each text the fixed patterns' spans and those that the tagger adds.
+
+    Lines that cannot hold an added span are not decoded; ``every_line`` decodes them as well,
+    which gives the same spans.
+    """
     base = [base_spans(text) for text in texts]
+    taken = [_Taken(spans) for spans in base]
     added: list[list[Span]] = [[] for _ in texts]
     held: list[tuple[int, int, str, list[str]]] = []
     size = 0
@@ -335,12 +418,12 @@ def all_spans(texts: list[str], tagger: Tagger) -> list[tuple[list[Span], list[S
         found = tagger.decode([words for *_, words in held]) if held else []
         for (number, offset, line, _), labels in zip(held, found, strict=True):
             if labels.any():
-                added[number] += _added(line, offset, labels, base[number])
+                added[number] += _added(line, offset, labels, taken[number])
         held.clear()
 
     for number, text in enumerate(texts):
-        offset = 0
-        for line in text.split("\n"):
+        lines = _lines(text) if every_line else open_lines(text, taken[number])
+        for offset, line in lines:
             words = line.split()
             if words:
                 held.append((number, offset, line, words))
@@ -348,52 +431,20 @@ def all_spans(texts: list[str], tagger: Tagger) -> list[tuple[list[Span], list[S
                 if size > BLOCK:
                     flush()
                     size = 0
-            offset += len(line) + 1
     flush()
     return list(zip(base, added, strict=True))
 
 
-def labelled_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") -> list[tuple[list[str], list[int]]]:
-    """A small labelled table: lines of at most ``LABELLED_DOCS`` texts, labelled by the fixed
-    patterns; ``LABELLED_LINES`` with spans and as many without, at most.
+def _lines(text: str) -> Iterator[tuple[int, str]]:
+    offset = 0
+    for line in text.split("\n"):
+        yield offset, line
+        offset += len(line) + 1
 
-    The texts are those with the smallest hashes of their keys among those with an @, a + or
-    a digit, and half as many of the others.
-    """
-    rows = docs.select(
-        col(key).cast("long").alias("id"), F.coalesce(col(text).cast("string"), F.lit("")).alias("text")
-    )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
-            words, labels = [], []
-            for text in rows["text"].to_pylist():
-                spans, offset, plain = base_spans(text), 0, 0
-                for line in text.split("\n"):
-                    own = [(k, a - offset, b - offset) for k, a, b in spans if a < offset + len(line) and offset < b]
-                    plain += not own
-                    if line.split() and len(line) < 2000 and (own or plain <= 2):
-                        words.append(line.split())
-                        labels.append(word_labels(line, own))
-                    offset += len(line) + 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.list_(pa.string())), pa.array(labels, pa.list_(pa.int32()))],
-                names=["words", "labels"],
-            )
-
-    digits = F.col("text").rlike(r"[0-9]{3}|@[A-Za-z]")
-    order = F.xxhash64("id")
-    marked = rows.select("id", digits.alias("digits"))
-    picked = marked.filter("digits").orderBy(order, "id").limit(LABELLED_DOCS * 2 // 3)
-    picked = picked.union(marked.filter("not digits").orderBy(order, "id").limit(LABELLED_DOCS // 3))
-    keys = docs.sparkSession.createDataFrame([(r["id"],) for r in picked.collect()], "id long").distinct()
-    sample = rows.join(F.broadcast(keys), "id", "left_semi")
-    lines = arrow_map(sample, run, "words array<string>, labels array<int>")
-    lines = lines.withColumn("some", F.exists("labels", lambda x: x > 0))
-    place = F.xxhash64("words")
-    chosen = lines.filter("some").orderBy(place).limit(LABELLED_LINES)
-    chosen = chosen.union(lines.filter("not some").orderBy(place).limit(LABELLED_LINES))
-    return [(r["words"], r["labels"]) for r in chosen.collect()]
+def labelled_lines() -> list[tuple[list[str], list[int]]]:
+    """Words and labels of the lines of the labelled table."""
+    return [(line.split(), word_labels(line, spans)) for line, spans in pii_table.marked_lines()]
 
 
 _FOUND = pa.schema(
@@ -411,16 +462,19 @@ def find(
     """``key, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added`` for every row.
 
     The counts and the digest are of the fixed patterns; ``spans`` has all spans as
-    ``kind:start:end``, by kind and start, in code points with exclusive ends. The CRF learns
-    from ``labelled`` (words and labels of lines; by default ``labelled_lines``) and decodes
-    every line of every text; its spans are added where they have the form of their kind and
-    touch none of the others.
-
-    Null text counts as empty: no spans. Null and repeated keys stay as they are, extra
-    columns are ignored, an empty table gives no rows and trains nothing. Work grows with a
-    text's length; no line is cut.
+    ``kind:start:end``, by kind, start and end, in code points with exclusive ends. The CRF
+    learns from ``labelled`` (words and labels of lines; by default the table in ``pii_table``)
+    and adds what the patterns do not read: phone numbers without +, cards with other
+    separators, addresses spelled with an at in brackets or a domain of other letters. Its
+    spans are added where they have a form of their kind and touch none of the others. It
+    decodes, whole, every line that can hold such a span.
+
+    Null text counts as empty: no spans. Null and repeated keys stay as they are, equal texts
+    get equal spans, extra columns are ignored, an empty table gives no rows. Of two paths of
+    equal score the one with the smaller label is taken. Work grows with a text's length; no
+    line or word is cut.
     """
-    model = train(labelled_lines(docs, text, key) if labelled is None else labelled)
+    model = train(labelled_lines() if labelled is None else labelled)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -66,18 +66,6 @@ def test_base_spans_like_plain_patterns():
         assert pii.base_spans(text) == want, text
 
 
-def test_pii_adds_and_keeps(spark, awkward, empty):
-    lines = [(f"call +1 (212) 555-{n} now".split(), [0, 4, 5, 5, 0]) for n in range(1000, 1060)]
-    lines += [("nothing to see here".split(), [0] * 4)] * 60
-    docs = spark.createDataFrame([(1, "é call (212) 555-9876 now"), (2, "a@b.co"), (3, None)], "doc_id long, text string")
-    got = {r["doc_id"]: r for r in pii.find(docs, lines).collect()}
-    assert got[2]["spans"] == "email:0:6" and got[2]["n_email"] == 1
-    assert got[3]["spans"] == "" and got[1]["n_phone"] == 0
-    assert got[1]["spans"] in ("phone:7:21", "")
-    assert pii.find(awkward, lines).count() == len(AWKWARD)
-    assert pii.find(empty).count() == 0
-
-
 def test_viterbi_is_the_best_path():
     import itertools
 
