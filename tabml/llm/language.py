@@ -12,14 +12,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabml.llm.common import arrow_map, col
+from tabml.sources.staging import stage
 
 #: Characters of a gram, and bits of a character's class: at most 2**24 grams a language.
 ORDER, BITS = 4, 6
 CLASSES = 2**BITS
 #: Characters of text scored at once.
 BLOCK = 400_000
-#: Texts that calibrate the score and the rejection, and their share of false rejections.
-CALIBRATION_ROWS, FALSE_REJECTIONS = 2000, 0.001
+#: Share of false rejections, and the precision (one over the error in ranks) of its quantile.
+FALSE_REJECTIONS, QUANTILE_PRECISION = 0.001, 100_000
+#: Temperatures of the score, of which the calibration takes the best.
+TEMPERATURES = [2.0**p for p in range(-2, 8)]
 
 
 @lru_cache(maxsize=1)
@@ -251,52 +254,60 @@ def entropies(rows: DataFrame, model: Model) -> DataFrame:
     return arrow_map(rows, run, f"{ddl}, n_grams long, entropy array<double>")
 
 
-def _calibrated(model: Model, lang: np.ndarray, sizes: np.ndarray, entropy: np.ndarray) -> Model:
-    """Fit the score's temperature and each language's rejection limit on labelled texts."""
-    columns = {name: place for place, name in enumerate(model.languages)}
-    truth = np.array([columns.get(x, -1) for x in lang], np.int64)
-    fine = (truth >= 0) & (sizes > 0)
-    truth, entropy = truth[fine], entropy[fine]
-    model.reject_above = np.full(len(columns), np.inf)
-    if not len(truth):
+def _calibrated(model: Model, scored: DataFrame) -> Model:
+    """Fit the score's temperature and each language's rejection limit on all of ``scored``.
+
+    ``scored`` has the ``lang``, ``n_grams`` and ``entropy`` of labelled texts. One aggregate by
+    language: means of each temperature's loss, a quantile sketch and a deviation come back.
+    """
+    model.reject_above = np.full(len(model.languages), np.inf)
+    if not model.languages:
         return model
-    rows = np.arange(len(truth))
-
-    def loss(temperature: float) -> float:
-        scaled = -entropy * temperature
-        scaled -= scaled.max(axis=1, keepdims=True)
-        return float(-(scaled[rows, truth] - np.log(np.exp(scaled).sum(axis=1))).mean())
-
-    model.temperature = min((2.0**p for p in range(-2, 8)), key=loss)
-    for column in range(len(columns)):
-        own = entropy[truth == column, column]
-        if len(own):
-            # Above what its own texts reach, with room for texts shorter than these.
-            spread = np.std(own) if len(own) > 1 else 0.0
-            model.reject_above[column] = np.quantile(own, 1 - FALSE_REJECTIONS) + spread
+    place = F.array_position(F.array(*[F.lit(x) for x in model.languages]), F.col("lang")).cast("int")
+    rows = scored.withColumn("place", place).filter("place > 0 and n_grams > 0")
+    rows = rows.select("place", "entropy", F.element_at("entropy", F.col("place")).alias("own"))
+    least = F.array_min("entropy")
+
+    def loss(temperature: float) -> Column:
+        total = F.aggregate("entropy", F.lit(0.0), lambda acc, e: acc + F.exp((least - e) * temperature))
+        return F.log(total) + (F.col("own") - least) * temperature
+
+    found = rows.groupBy("place").agg(
+        F.count("*").alias("n"),
+        F.percentile_approx("own", 1 - FALSE_REJECTIONS, QUANTILE_PRECISION).alias("most"),
+        F.stddev_pop("own").alias("spread"),
+        F.array(*[F.sum(loss(t)) for t in TEMPERATURES]).alias("losses"),
+    )
+    found = sorted(found.collect(), key=lambda row: row["place"])
+    if found:
+        model.temperature = TEMPERATURES[int(np.argmin(np.sum([row["losses"] for row in found], axis=0)))]
+    for row in found:
+        # Above what its own texts reach, with room for texts shorter than these.
+        model.reject_above[row["place"] - 1] = row["most"] + row["spread"]
     return model
 
 
-def fit(rows: DataFrame) -> Model:
-    """Models of all languages of ``rows`` (``id``, ``text``, ``lang``, none of the last two null).
+def counted(rows: DataFrame) -> Model:
+    """Models of all languages of ``rows`` (``text``, ``lang``, none of them null), not calibrated.
 
     Every row is counted. What reaches the driver is the table of distinct grams, whose size
-    the classes bound (2**24 a language), and the ``CALIBRATION_ROWS`` texts' entropies, the
-    rows with the smallest hashes of their ids.
+    the classes bound (2**24 a language).
     """
     frame = gram_counts(rows).toPandas()
     models = {}
     for lang, own in frame.groupby("lang"):
         own = own.sort_values("gram")
         models[lang] = kneser_ney(own["gram"].to_numpy(), own["n"].to_numpy())
-    model = _merged(models)
-    picked = rows.select("id").orderBy(F.xxhash64("id"), "id").limit(CALIBRATION_ROWS).distinct()
-    sample = rows.join(F.broadcast(picked), "id", "left_semi")
-    seen = entropies(sample, model).drop("id").toPandas()
-    if not len(seen) or not models:
-        return _calibrated(model, np.empty(0), np.empty(0), np.empty((0, len(models))))
-    matrix = np.array(seen["entropy"].tolist()).reshape(len(seen), -1)
-    return _calibrated(model, seen["lang"].to_numpy(), seen["n_grams"].to_numpy(), matrix)
+    return _merged(models)
+
+
+def fit(rows: DataFrame) -> Model:
+    """Models of all languages of ``rows`` (``id``, ``text``, ``lang``, none of the last two null).
+
+    Every row is counted, and every row calibrates the score and the rejection.
+    """
+    model = counted(rows)
+    return _calibrated(model, entropies(rows, model))
 
 
 def predict(rows: DataFrame, model: Model) -> DataFrame:
@@ -307,7 +318,11 @@ def predict(rows: DataFrame, model: Model) -> DataFrame:
     unless the cross-entropy is above the language's limit; then, and without letters,
     it is ``und``. A text without letters has ``und`` in both and score 0.
     """
-    scored = entropies(rows, model)
+    return _decided(entropies(rows, model), model)
+
+
+def _decided(scored: DataFrame, model: Model) -> DataFrame:
+    """``predict`` for rows that have their ``n_grams`` and ``entropy``."""
     names = F.array(*[F.lit(x) for x in model.languages]) if model.languages else None
     if names is None:
         return scored.drop("n_grams", "entropy").withColumns(
@@ -338,7 +353,7 @@ def identify(docs: DataFrame, text: str = "text", lang: str = "lang", key: str =
     """``key, held_out, lang_pred, lang_or_und, score, cross_entropy`` for every row.
 
     Rows whose CRC-32 of the key as text leaves 0 modulo ``folds`` are held out; the others
-    with a language and a text train the models. Language and key never enter a prediction.
+    with a language and a text train the models and calibrate them, all of them. Language and key never enter a prediction.
     Null and letterless texts are ``und``; without any labelled row all are. A null key is
     not held out and trains. Repeated rows count as often as they are there.
     """
@@ -349,6 +364,10 @@ def identify(docs: DataFrame, text: str = "text", lang: str = "lang", key: str =
     )
     rest = F.coalesce(F.crc32(F.col("id").cast("string")) % folds, F.lit(1))
     rows = rows.withColumn("held_out", rest == 0)
-    model = fit(rows.filter("not held_out and lang is not null and text != ''").drop("held_out"))
-    found = predict(rows.select("id", "held_out", "text"), model)
+    labelled = "not held_out and lang is not null"
+    model = counted(rows.filter(f"{labelled} and text != ''"))
+    # Written once, as the calibration and the prediction read the same entropies.
+    scored = stage(entropies(rows, model), "entropies")
+    model = _calibrated(model, scored.filter(labelled))
+    found = _decided(scored.drop("lang"), model)
     return found.withColumnRenamed("id", key)

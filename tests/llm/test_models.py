@@ -139,3 +139,28 @@ def test_equal_texts_score_alike(spark):
     got = docs.select("text", quality.score_column(docs, scorer).alias("s")).distinct().collect()
     assert len(got) == len(texts)
     assert [r["s"] for r in got if not r["text"]] == [0.0, 0.0]
+
+
+def test_every_labelled_text_calibrates(spark):
+    draw = np.random.default_rng(5)
+    letters = {"aa": "abcdefgh", "zz": "efghijkl"}
+    rows = [(k, "".join(draw.choice(list(letters[lang]), 12)), lang) for k, lang in enumerate(["aa", "zz"] * 1300)]
+    rows += [(5000 + k, "".join(draw.choice(list("mnopqrst"), 9)), "aa") for k in range(4)]
+    frame = spark.createDataFrame(rows, "id long, text string, lang string")
+    model = language.fit(frame)
+    seen = language.entropies(frame, model).collect()
+    for column, name in enumerate(model.languages):
+        own = np.array([r["entropy"][column] for r in seen if r["lang"] == name])
+        limit = np.quantile(own, 1 - language.FALSE_REJECTIONS, method="inverted_cdf") + own.std()
+        assert math.isclose(model.reject_above[column], limit, rel_tol=1e-9), name
+
+    def loss(temperature):
+        total = 0.0
+        for r in seen:
+            scaled = [-e * temperature for e in r["entropy"]]
+            top = max(scaled)
+            total += math.log(sum(math.exp(s - top) for s in scaled)) + top - scaled[model.languages.index(r["lang"])]
+        return total
+
+    assert model.temperature == min(language.TEMPERATURES, key=loss)
+    assert language._calibrated(model, language.entropies(frame.limit(0), model)).reject_above.tolist() == [math.inf] * 2
