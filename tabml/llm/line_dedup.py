@@ -17,7 +17,9 @@ from tabml.sources.staging import stage
 #: Blocks of a SimHash, one of which two lines must agree in, and bits in which the whole may
 #: differ: for lines of fewer than ``LONG`` characters, which resemble others by common words,
 #: and for longer ones.
-BLOCKS, DISTANCE, LONG, LONG_DISTANCE = 4, 3, 200, 4
+BLOCKS, DISTANCE, LONG, LONG_DISTANCE = 4, 5, 200, 8
+#: Orders that give a block its heads, and turns of meeting them.
+ORDERS, TURNS = 2, 2
 #: Bits of a SimHash, and the width of the lanes that count them, which divides the bits.
 BITS, LANE = 63, 9
 #: Words of a line from which on a lane could overflow.
@@ -27,6 +29,9 @@ BLOCK_BITS = -(-BITS // BLOCKS)
 LEAST_WORDS = 3
 #: Edit similarity of a link, in percent of the longer line.
 SIMILARITY = 80
+#: Edits that are looked for before all that a link may have, and most words of both lines that
+#: are compared as words first.
+FEW_EDITS, MOST_WORDS = 32, 1000
 #: Bytes of a table's rows that go to every executor, added up first.
 BROADCAST_BYTES = 32 * 1024 * 1024
 
@@ -37,9 +42,9 @@ def normalised(text: Column) -> Column:
 
 
 def _with_simhash(rows: DataFrame) -> DataFrame:
-    """``sim`` for lines with ``row, line, count`` and other columns of whole numbers.
+    """``sim`` for lines with ``row, words, count`` and other columns of whole numbers.
 
-    It has the bits that more than half of the words' hashes have. Words are exploded and
+    It has the bits that more than half of the distinct words' hashes have. Words are exploded and
     summed by the line's number alone; whatever else belongs to the line comes along as a
     maximum of equal numbers, so that the aggregate's rows stay narrow and of fixed width. Sum
     number j of a line of fewer than ``NARROW`` words adds up the bits j, j + LANE,
@@ -52,14 +57,14 @@ def _with_simhash(rows: DataFrame) -> DataFrame:
     ones = F.lit(sum(1 << lane for lane in lanes)).cast("long")
     tops = F.lit(sum(1 << (lane + LANE - 1) for lane in lanes)).cast("long")
     zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
-    keys = [name for name in rows.columns if name not in ("row", "line")]
+    keys = [name for name in rows.columns if name not in ("row", "words")]
 
     narrow_line = F.col("count") < NARROW
     parts = F.sequence(F.lit(0), F.lit(BITS // LANE - 1))
     parts = F.when(narrow_line, F.array(F.lit(0))).otherwise(parts)
     rows = rows.withColumn("part", F.explode(parts))
-    # The outer explode, as a plain one has Spark split all lines once more to filter empty arrays.
-    rows = rows.select("row", "part", *keys, F.explode_outer(F.split("line", " ")).alias("word"))
+    # The outer explode, as a plain one has Spark make all arrays once more to filter empty ones.
+    rows = rows.select("row", "part", *keys, F.explode_outer("words").alias("word"))
     # Spark's functions shift by a constant, its expressions by a column as well.
     rows = rows.withColumn("feature", F.expr(f"shiftrightunsigned(xxhash64(word), {LANE} * part)"))
     mask = F.when(narrow_line, ones).otherwise(one)
@@ -94,11 +99,12 @@ def line_table(docs: DataFrame, text: str, key: str, least_words: int = LEAST_WO
     rows = rows.withColumn("count", F.when(F.col("line") == "", 0).otherwise(blanks + 1).cast("long"))
     rows = rows.filter(F.col("count") >= least_words)
     rows = rows.select(
-        "id", "mark", "pos", F.length("line").alias("n_chars"), "count", "line",
+        "id", "mark", "pos", F.length("line").alias("n_chars"), F.array_distinct(F.split("line", " ")).alias("words"),
         F.xxhash64("line").alias("high"), F.xxhash64(F.lit(1), F.col("line")).alias("low"),
         # Keeps equal rows apart, whose words would be summed together.
         F.monotonically_increasing_id().alias("row"),
     )
+    rows = rows.withColumn("count", F.size("words").cast("long"))
     node = F.unhex(F.concat(F.lpad(F.hex("high"), 16, "0"), F.lpad(F.hex("low"), 16, "0")))
     return _with_simhash(rows).withColumn("node", node).drop("high", "low")
 
@@ -125,23 +131,37 @@ def _blocks(lines: DataFrame, *more: str) -> DataFrame:
     return lines.select(F.explode(blocks).alias("block"), *_ENDS, *more)
 
 
-def first_candidates(lines: DataFrame) -> DataFrame:
-    """Pairs ``a, b``: every line with the nearest of the first lines of its blocks, if one is near.
+def first_candidates(lines: DataFrame, turn: int = 0) -> DataFrame:
+    """Pairs ``a, b``: every line with the nearest head of its blocks, if one of another label is near.
 
     So the lines of a template, each of which resembles all others, are not paired with each
-    other. A block's first lines are its first long one and its last, which is short if any is.
+    other. A block's heads are the first and the last line in each of ``ORDERS`` orders, another
+    set of orders for every ``turn``; long lines come before short ones. There are at most
+    ``2 * ORDERS`` heads for each of the ``BLOCKS * 2 ** BLOCK_BITS`` blocks, whatever the
+    input, so they go to every executor. Without ``label`` every line is its own.
     """
-    spread = _blocks(lines)
-    first = F.struct((F.col("n_chars") < LONG).alias("short"), *_ENDS)
-    heads = spread.groupBy("block").agg(F.min(first).alias("head"), F.max(first).alias("other"))
-    heads = heads.select("block", F.explode(F.array("head", "other")).alias("head"))
-    met = spread.join(heads, "block").filter("node != head.node").select(
-        *[F.col(f"head.{c}").alias(f"a_{c}") for c in _ENDS], *[F.col(c).alias(f"b_{c}") for c in _ENDS]
-    )
+    if "label" not in lines.columns:
+        lines = lines.withColumn("label", F.col("node"))
+    short = F.when(F.col("n_chars") < LONG, 1 << 62).otherwise(0).cast("long")
+    names = [f"order{k}" for k in range(ORDERS)]
+    for k, name in enumerate(names):
+        own = F.shiftrightunsigned(F.xxhash64("node", F.lit(turn * ORDERS + k)), 2)
+        lines = lines.withColumn(name, own.bitwiseOR(short))
+    spread = _blocks(lines, "label", *names)
+    ends = [(f"{end}{name}", name, function) for name in names for end, function in (("low", F.min), ("high", F.max))]
+    limits = spread.groupBy("block").agg(*[function(name).alias(end) for end, name, function in ends])
+    at_end = reduce(Column.__or__, [F.col(name) == F.col(end) for end, name, _ in ends])
+    columns = ("node", "sim", "n_chars", "label")
+    heads = spread.join(F.broadcast(limits), "block").filter(at_end)
+    heads = stage(heads.select("block", *[F.col(c).alias(f"a_{c}") for c in columns]), "heads")
+    met = spread.select("block", *[F.col(c).alias(f"b_{c}") for c in columns]).join(F.broadcast(heads), "block")
+    met = met.filter(_near() & (F.col("a_label") != F.col("b_label")))
     apart = F.bit_count(F.col("a_sim").bitwiseXOR(F.col("b_sim")))
-    nearest = F.min(F.struct(apart.alias("apart"), F.col("a_node").alias("a")))
-    best = met.filter(_near()).groupBy(F.col("b_node").alias("b")).agg(nearest.alias("best"))
-    return best.select(F.col("best.a").alias("a"), "b")
+    ends = F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")
+    nearest = F.min(F.struct(apart.alias("apart"), F.xxhash64(*ends).alias("hash"), *ends))
+    best = met.groupBy("b_node").agg(nearest.alias("best"))
+    # Two heads may have chosen each other.
+    return best.select("best.a", "best.b").distinct()
 
 
 def candidates(lines: DataFrame) -> DataFrame:
@@ -174,6 +194,16 @@ def _small(frame: DataFrame, row_bytes: Column, most: int = BROADCAST_BYTES) ->
     return F.broadcast(frame) if size <= most else frame
 
 
+def _word_edits() -> Column:
+    """At least as many edits as ``x`` and ``y`` need: edits of whole words, each of the longest.
+
+    Every word becomes one letter, its place among the words ``known`` of both lines.
+    """
+    letters = "decode(unhex(array_join(transform(split({}, ' '), w -> hex(array_position(known, w) + 16384)), '')), 'UTF-16BE')"
+    longest = F.array_max(F.transform("known", F.length)) + 1
+    return F.levenshtein(F.expr(letters.format("x")), F.expr(letters.format("y"))) * longest
+
+
 def _links(pairs: DataFrame, distinct: DataFrame, docs: DataFrame, text: str, key: str) -> DataFrame:
     """The pairs whose texts reach the edit similarity. Only candidates' texts are fetched."""
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
@@ -190,8 +220,17 @@ def _links(pairs: DataFrame, distinct: DataFrame, docs: DataFrame, text: str, ke
     rows = rows.join(texts.select(F.col("node").alias("b"), F.col("line").alias("y")), "b")
     most = F.expr(f"{100 - SIMILARITY} * greatest(length(x), length(y)) div 100").cast("int")
     # With its bound the edit distance computes a band, and is -1 beyond it.
-    edits = F.expr("levenshtein(x, y, most)")
-    return rows.withColumn("most", most).filter(edits >= 0).select("a", "b")
+    # Pairs are grouped by both ends, as those of a frequent line have come to one task.
+    known = F.array_distinct(F.concat(F.split(F.first("x"), " "), F.split(F.first("y"), " ")))
+    rows = rows.withColumn("most", most).groupBy("a", "b")
+    rows = rows.agg(*[F.first(name).alias(name) for name in ("x", "y", "most")], known.alias("known"))
+    # Most near copies differ in few words: that many times the longest word bounds their edits.
+    whole = F.expr("levenshtein(x, y, most) >= 0")
+    few = F.when(F.size("known") <= MOST_WORDS, _word_edits() <= F.col("most")).otherwise(False)
+    # A narrow band shows most others; the rest gets its whole one.
+    narrow = F.expr(f"levenshtein(x, y, least(most, {FEW_EDITS})) >= 0")
+    near = F.when(few, True).when(narrow, True).when(F.col("most") <= FEW_EDITS, False).otherwise(whole)
+    return rows.filter(near).select("a", "b")
 
 
 def dropped_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", least_words: int = LEAST_WORDS) -> DataFrame:
@@ -204,9 +243,17 @@ def dropped_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", leas
         F.first("n_chars").alias("n_chars"),
     )
     distinct = stage(distinct, "distinct-lines")
-    # First one pair for each line, then the pairs between groups.
+    # First one pair for each line, then turns among the lines that found one, then the pairs
+    # that are still between groups.
     links = stage(_links(stage(first_candidates(distinct), "line-heads"), distinct, docs, text, key), "line-links")
     groups = stage(components(links, "a", "b"), "line-groups")
+    for turn in range(1, TURNS):
+        linked = distinct.join(groups, "node").select(*_ENDS, "label")
+        pairs = stage(first_candidates(linked, turn), "line-heads")
+        if pairs.isEmpty():
+            break
+        links = stage(links.union(_links(pairs, distinct, docs, text, key)), "line-links")
+        groups = stage(components(links, "a", "b"), "line-groups")
     grouped = distinct.join(groups, "node", "left").withColumn("label", F.coalesce("label", "node"))
     pairs = stage(candidates(grouped), "line-pairs")
     if not pairs.isEmpty():
@@ -233,7 +280,7 @@ def dedup_lines(
     """``docs`` with repeated lines taken out of ``text``; ``counts`` adds ``n_lines, n_dropped``.
 
     Lines are compared in normalised form (lower case, marks as spaces). Equal ones are one
-    node. Two nodes link when the 63-bit SimHashes of their words agree in one of ``BLOCKS``
+    node. Two nodes link when the 63-bit SimHashes of their distinct words agree in one of ``BLOCKS``
     blocks and differ in at most ``DISTANCE`` bits (``LONG_DISTANCE`` in lines of ``LONG``
     characters), and their edit distance is at most ``100 - SIMILARITY`` percent of the longer
     one. Of all lines in a connected group the first

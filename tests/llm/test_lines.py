@@ -93,3 +93,59 @@ def test_few_words_on_demand(spark):
     frame = spark.createDataFrame([(1, "one\ntwo words", 1, "p"), (2, "ONE.\n\ntwo words", 1, "p")], SCHEMA)
     assert line_dedup.dedup_lines(frame).filter("doc_id = 2").first()["text"] == "ONE.\n\ntwo words"
     assert line_dedup.dedup_lines(frame, least_words=1).filter("doc_id = 2").first()["text"] == ""
+
+
+def test_near_copies_of_one_line_leave_few_pairs(spark, monkeypatch):
+    draw = random.Random(8)
+    words, left = vocabulary(draw), {}
+    line = [draw.choice(words) for _ in range(60)]
+    plain = line_dedup.candidates
+
+    def counted(lines):
+        pairs = plain(lines)
+        left[n] = pairs.count()
+        return pairs
+
+    monkeypatch.setattr(line_dedup, "candidates", counted)
+    for n in (200, 800):
+        rows = []
+        for k in range(n):
+            other = list(line)
+            for place in draw.sample(range(60), 2):
+                other[place] = draw.choice(words)
+            rows.append((k, " ".join(other), 1, "p"))
+        assert line_dedup.dedup_lines(spark.createDataFrame(rows, SCHEMA), empty=False).count() <= 0.2 * n
+    assert left[800] <= 8 * max(left[200], 100)
+
+
+def test_frequent_words_do_not_make_unlike_lines_candidates(spark):
+    draw = random.Random(9)
+    words = vocabulary(draw)
+    rows = []
+    for k in range(400):
+        line = [draw.choice(words) for _ in range(45)] + ["the"] * 30
+        draw.shuffle(line)
+        rows.append((k, " ".join(line), 1, "p"))
+    lines = line_dedup.line_table(spark.createDataFrame(rows, SCHEMA), "text", "doc_id")
+    distinct = lines.groupBy("node").agg(F.bit_or("sim").alias("sim"), F.first("n_chars").alias("n_chars"))
+    assert line_dedup.candidates(distinct.withColumn("label", F.col("node"))).count() < 10
+
+
+def test_edits_are_counted_to_the_bound(spark):
+    draw = random.Random(10)
+    words = vocabulary(draw)
+    line = " ".join(draw.choice(words) for _ in range(250))
+    rows = [(0, line, 1, "p")]
+    for k, share in enumerate((0.001, 0.01, 0.05, 0.12, 0.18, 0.21, 0.3), 1):
+        other = list(line)
+        for place in draw.sample([i for i, letter in enumerate(line) if letter != " "], int(share * len(line))):
+            other[place] = "z"
+        rows.append((k, "".join(other), 1, "p"))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    lines = line_dedup.line_table(docs, "text", "doc_id").select("id", "mark", "pos", "node")
+    distinct = lines.select("node", F.struct("id", "mark", "pos").alias("first")).cache()
+    first = distinct.filter("first.id = 0").select(F.col("node").alias("a"))
+    pairs = first.crossJoin(distinct.filter("first.id > 0").select(F.col("node").alias("b")))
+    found = line_dedup._links(pairs, distinct, docs, "text", "doc_id").join(distinct, F.col("b") == F.col("node"))
+    want = {k for k, text, *_ in rows[1:] if 100 * edits(line, text) <= 20 * len(line)}
+    assert {r["id"] for r in found.select("first.id").collect()} == want and len(want) == 5
