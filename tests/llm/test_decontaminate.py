@@ -118,3 +118,76 @@ def test_words_are_the_pattern_s():
         assert decontaminate.words_of(text) == re.findall(r"\w+", text.lower()), text
     # All texts of one byte a character go by the table, without the pattern.
     assert decontaminate._WORD_BYTES.decode("latin-1").split() == re.findall(r"\w+", "".join(map(chr, range(256))))
+
+
+@pytest.fixture(scope="module")
+def many(spark):
+    """More texts than a fitted sample would have, words of the benchmark in all and in the last ones only."""
+    draw = random.Random(9)
+    vocabulary = [f"word{k}" for k in range(150)]
+    common = vocabulary[:90]
+    docs = [" ".join(draw.choice([*common, "other"]) for _ in range(draw.randint(0, 150))) for _ in range(2600)]
+    docs += [" ".join(draw.choice(vocabulary[90:]) for _ in range(100)) for _ in range(40)] + [""]
+    items = decontaminate._items([{"item": k, "text": t} for k, t in enumerate(texts(draw, vocabulary, 25, 30))])
+    known = {w: decontaminate._term(w) for i in items for w in i.words}
+    frame = spark.createDataFrame(list(enumerate(docs)), "id long, text string").repartition(5)
+    return docs, items, known, decontaminate.fit_passages(frame, known)
+
+
+def test_frequencies_and_passages_are_of_all_texts(many):
+    docs, _, known, passages = many
+    frequency, n = decontaminate.document_frequencies(passages)
+    assert n == len(docs)
+    for word, term in known.items():
+        alike = {w for w, t in known.items() if t == term}
+        assert frequency[term] == sum(not alike.isdisjoint(decontaminate.words_of(text)) for text in docs), word
+    sizes = [k for row in passages.collect() for k in row["sizes"]]
+    words = [decontaminate.words_of(text) for text in docs]
+    want = [sum(w in known for w in own[k : k + 64]) for own in words for k in range(0, len(own), 64)]
+    assert sorted(sizes) == sorted(k for k in want if k)
+
+
+@pytest.mark.parametrize("paired", [4096, 0])
+def test_latent_space_is_that_of_all_passages(many, monkeypatch, paired):
+    docs, items, known, passages = many
+    monkeypatch.setattr(decontaminate, "PAIRED_TERMS", paired)
+    monkeypatch.setattr(decontaminate, "RANK", 60)
+    frequency, n = decontaminate.document_frequencies(passages)
+    space = decontaminate.latent_space(passages, items, known, frequency, n)
+    idf = np.log((1 + n) / (1 + frequency))
+    plain = []
+    for words in [decontaminate.words_of(text) for text in docs] + [item.words for item in items]:
+        for k in range(0, len(words), decontaminate.FIT_WORDS):
+            row = np.zeros(len(space.vectors))
+            for word in words[k : k + decontaminate.FIT_WORDS]:
+                if word in known:
+                    row[space.rows[known[word]]] += idf[known[word]]
+            if row.any():
+                plain.append(row / np.linalg.norm(row))
+    square = np.array(plain).T @ np.array(plain)
+    weights = np.zeros(len(space.vectors))
+    for term in known.values():
+        weights[space.rows[term]] = idf[term]
+    basis = np.divide(space.vectors, weights[:, None], out=np.zeros_like(space.vectors, dtype=float), where=weights[:, None] > 0)
+    kept = weights > 0
+    assert np.allclose(basis[kept].T @ basis[kept], np.eye(60), atol=1e-3)
+    best = np.sort(np.linalg.eigvalsh(square))[::-1][:60].sum()
+    # The spectrum of random words is flat, which one turn does not sort out wholly.
+    assert np.trace(basis.T @ square @ basis) >= 0.98 * best
+
+
+def test_products_of_passages_are_the_plain_ones():
+    draw = np.random.default_rng(2)
+    sizes = np.array([1, 5, 64, 5, 1, 30], np.uint8)
+    terms = draw.integers(0, 40, int(sizes.sum())).astype(np.uint16)
+    columns, idf = draw.permutation(40), draw.random(40).astype(np.float32)
+    idf[columns[terms[0]]] = 0
+    total = np.zeros((40, 40))
+    decontaminate._add_products(total, terms, sizes, idf, columns)
+    want = np.zeros((40, 40))
+    for own in np.split(terms, np.cumsum(sizes.astype(int))[:-1]):
+        row = np.bincount(columns[own], minlength=40) * idf
+        if row.any():
+            row = row / np.linalg.norm(row)
+        want += np.outer(row, row)
+    assert np.allclose(total, np.triu(want), atol=1e-6)
